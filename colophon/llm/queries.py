@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import formatting
+from colophon.llm import canonical_list, formatting
 from colophon.session import ship_package
 from colophon.tables import table
 
@@ -25,9 +25,26 @@ def p1_copy_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rec.select(F.lit("records").alias("table_name"), "first_id", "copies").unionByName(raw.select(F.lit("raw_records").alias("table_name"), "first_id", "copies"))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    journals = table(spark, folder, "journals")
+    records = table(spark, folder, "records").select("record_id", "journal")
+    free = records.join(journals.select(F.col("title").alias("journal")), "journal", "left_anti").where("journal is not null")
+    mapped = canonical_list.map_to_list(free, "journal", journals, "journal_id", ["title", "abbreviation"])
+    return canonical_list.match_rows(free, "journal", mapped).select("record_id", F.coalesce("entry", F.lit(0)).cast("int").alias("journal_id"))
+
+
+def p4_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    """Report of the values for which no entry is close enough, with their number of rows."""
+    journals = table(spark, folder, "journals")
+    mapped = canonical_list.map_to_list(table(spark, folder, "records"), "journal", journals, "journal_id", ["title", "abbreviation"])
+    return mapped.where("entry is null").select(F.col("value").alias("journal"), "n")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_copy_counts": p1_copy_counts,
+    "p4_found": p4_found,
+    "p4_unmatched": p4_unmatched,
 }
 
 ORACLES: dict[str, str] = {}
