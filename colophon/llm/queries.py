@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import canonical_list, formatting
+from colophon.llm import canonical_list, formatting, mojibake
 from colophon.session import ship_package
 from colophon.tables import table
 
@@ -40,11 +40,23 @@ def p4_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     return mapped.where("entry is null").select(F.col("value").alias("journal"), "n")
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p5_restored(spark, folder).select("record_id", "field_name", "author_pos")
+
+
+def p5_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """The damaged fields with the original text where it can be told."""
+    ship_package(spark)
+    return mojibake.garbled_fields(mojibake.fields_of(table(spark, folder, "records")))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_copy_counts": p1_copy_counts,
     "p4_found": p4_found,
     "p4_unmatched": p4_unmatched,
+    "p5_found": p5_found,
+    "p5_restored": p5_restored,
 }
 
 ORACLES: dict[str, str] = {}
