@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import canonical_list, formatting, mojibake
+from colophon.llm import canonical_list, formatting, mojibake, unify
 from colophon.session import ship_package
 from colophon.tables import table
 
@@ -50,6 +50,20 @@ def p5_restored(spark: SparkSession, folder: str) -> DataFrame:
     return mojibake.garbled_fields(mojibake.fields_of(table(spark, folder, "records")))
 
 
+def p6_unified(spark: SparkSession, folder: str) -> DataFrame:
+    """The fields that are not in their consistent form, with that form; fields under a wrong encoding are left to problem 5."""
+    ship_package(spark)
+    fields = mojibake.fields_of(table(spark, folder, "records"))
+    encodings, _ = mojibake.learn(fields)
+    some = fields.where(mojibake.non_ascii(F.col("text")))
+    changed = some.withColumn("unified", unify.unified(F.col("text"))).where("unified <> text")
+    return changed.withColumn("_fix", mojibake.restored(F.col("text"), encodings)).where("not _fix.garbled").drop("_fix")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p6_unified(spark, folder).select("record_id", "field_name", "author_pos")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_copy_counts": p1_copy_counts,
@@ -57,6 +71,8 @@ QUERIES = {
     "p4_unmatched": p4_unmatched,
     "p5_found": p5_found,
     "p5_restored": p5_restored,
+    "p6_found": p6_found,
+    "p6_unified": p6_unified,
 }
 
 ORACLES: dict[str, str] = {}
