@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import canonical_list, formatting, mojibake, unify
-from colophon.session import ship_package
+from colophon.llm import canonical_list, formatting, mojibake, names, unify
+from colophon.session import materialize, ship_package
 from colophon.tables import table
 
 
@@ -64,6 +64,27 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return p6_unified(spark, folder).select("record_id", "field_name", "author_pos")
 
 
+def _sound_entries(spark: SparkSession, folder: str) -> DataFrame:
+    """Author entries ``(name, canonical_name)``; a name under a wrong encoding or not in its consistent form is left out."""
+    records = table(spark, folder, "records")
+    encodings, _ = mojibake.learn(mojibake.fields_of(records))
+    entries = records.select(F.explode("authors").alias("a")).select("a.name", "a.canonical_name").distinct()
+    odd = entries.where(mojibake.non_ascii(F.col("name")))
+    odd = odd.withColumn("_fix", mojibake.restored(F.col("name"), encodings)).withColumn("_form", unify.unified(F.col("name")))
+    odd = odd.withColumn("name", F.when(~F.col("_fix.garbled") & (F.col("_form") == F.col("name")), F.col("name"))).drop("_fix", "_form")
+    return odd.unionByName(entries.where(F.col("name").isNull() | ~mojibake.non_ascii(F.col("name"))))
+
+
+def p7_authors(spark: SparkSession, folder: str) -> DataFrame:
+    """Each spelling with the author it denotes."""
+    ship_package(spark)
+    return names.link_names(materialize(_sound_entries(spark, folder), "entries"))
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.name_pairs(materialize(p7_authors(spark, folder), "linked"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_copy_counts": p1_copy_counts,
@@ -73,6 +94,8 @@ QUERIES = {
     "p5_restored": p5_restored,
     "p6_found": p6_found,
     "p6_unified": p6_unified,
+    "p7_authors": p7_authors,
+    "p7_found": p7_found,
 }
 
 ORACLES: dict[str, str] = {}
