@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import canonical_list, formatting, mojibake, names, unify
+from colophon.llm import canonical_list, formatting, leakage, mojibake, names, unify
 from colophon.session import materialize, ship_package
 from colophon.tables import table
 
@@ -85,6 +85,22 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return names.name_pairs(materialize(p7_authors(spark, folder), "linked"))
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_stretches(spark, folder).select("doc_id", "item_id")
+
+
+def p9_stretches(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaked items with the words of the document they cover."""
+    ship_package(spark)
+    return leakage.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p9_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents without a leaked passage."""
+    documents = table(spark, folder, "documents").select("doc_id", "source", "n_chars")
+    return leakage.without_leaks(documents, p9_found(spark, folder))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_copy_counts": p1_copy_counts,
@@ -96,6 +112,9 @@ QUERIES = {
     "p6_unified": p6_unified,
     "p7_authors": p7_authors,
     "p7_found": p7_found,
+    "p9_found": p9_found,
+    "p9_kept": p9_kept,
+    "p9_stretches": p9_stretches,
 }
 
 ORACLES: dict[str, str] = {}
