@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import canonical_list, formatting, leakage, mojibake, names, unify
+from colophon.llm import canonical_list, formatting, leakage, mojibake, names, residue, unify
 from colophon.session import materialize, ship_package
 from colophon.tables import table
 
@@ -101,6 +101,17 @@ def p9_kept(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.without_leaks(documents, p9_found(spark, folder))
 
 
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    return residue.residue_documents(table(spark, folder, "documents"))
+
+
+def p10_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """The segments that were found, with the reason."""
+    ship_package(spark)
+    return residue.residue_segments(table(spark, folder, "documents")).select("doc_id", "segment", "reason")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_copy_counts": p1_copy_counts,
@@ -115,6 +126,8 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_kept": p9_kept,
     "p9_stretches": p9_stretches,
+    "p10_found": p10_found,
+    "p10_segments": p10_segments,
 }
 
 ORACLES: dict[str, str] = {}
