@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import canonical_list, formatting, leakage, mojibake, names, residue, unify
+from colophon.llm import canonical_list, formatting, fusion, leakage, mojibake, names, residue, unify
 from colophon.session import materialize, ship_package
 from colophon.tables import table
 
@@ -112,9 +112,24 @@ def p10_segments(spark: SparkSession, folder: str) -> DataFrame:
     return residue.residue_segments(table(spark, folder, "documents")).select("doc_id", "segment", "reason")
 
 
+def _fused(spark: SparkSession, folder: str) -> DataFrame:
+    return fusion.fuse(table(spark, folder, "match_groups"), table(spark, folder, "records"), table(spark, folder, "origins"))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return fusion.survivors(_fused(spark, folder))
+
+
+def p2_posterior(spark: SparkSession, folder: str) -> DataFrame:
+    """The record whose value has the highest posterior after copied votes are discounted."""
+    return fusion.survivors(_fused(spark, folder), by="posterior")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_copy_counts": p1_copy_counts,
+    "p2_found": p2_found,
+    "p2_posterior": p2_posterior,
     "p4_found": p4_found,
     "p4_unmatched": p4_unmatched,
     "p5_found": p5_found,
