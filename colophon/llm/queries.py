@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import canonical_list, formatting, fusion, leakage, mojibake, names, residue, unify
+from colophon.llm import canonical_list, formatting, fusion, incremental, leakage, mojibake, names, residue, unify
 from colophon.session import materialize, ship_package
 from colophon.tables import table
 
@@ -125,11 +125,16 @@ def p2_posterior(spark: SparkSession, folder: str) -> DataFrame:
     return fusion.survivors(_fused(spark, folder), by="posterior")
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return incremental.deduplicate_batches(table(spark, folder, "records"), "record_id", table(spark, folder, "incoming"), "incoming_id", "batch_no")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_copy_counts": p1_copy_counts,
     "p2_found": p2_found,
     "p2_posterior": p2_posterior,
+    "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_unmatched": p4_unmatched,
     "p5_found": p5_found,
