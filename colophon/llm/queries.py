@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import canonical_list, formatting, fusion, incremental, leakage, mojibake, names, residue, unify
+from colophon.llm import canonical_list, formatting, fusion, incremental, leakage, mojibake, names, packing, residue, unify
 from colophon.session import materialize, ship_package
 from colophon.tables import table
 
@@ -129,6 +129,21 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return incremental.deduplicate_batches(table(spark, folder, "records"), "record_id", table(spark, folder, "incoming"), "incoming_id", "batch_no")
 
 
+def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
+    """The container of each document, or of each piece of a document that is longer than a container."""
+    ship_package(spark)
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    sized = documents.select("doc_id", packing.token_count(F.col("text"), spark).alias("size"))
+    return packing.pack(sized, "doc_id", "size").withColumnRenamed("id", "doc_id")
+
+
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How full the containers are."""
+    loads = p8_containers(spark, folder).groupBy("container_id").agg(F.sum("tokens").alias("load"))
+    total = loads.agg(F.count(F.lit(1)).alias("containers"), F.sum("load").alias("tokens"), F.max("load").alias("fullest"))
+    return total.withColumn("filled", F.round(F.col("tokens") / (F.col("containers") * packing.CAPACITY), 6))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_copy_counts": p1_copy_counts,
@@ -143,6 +158,8 @@ QUERIES = {
     "p6_unified": p6_unified,
     "p7_authors": p7_authors,
     "p7_found": p7_found,
+    "p8_containers": p8_containers,
+    "p8_fill": p8_fill,
     "p9_found": p9_found,
     "p9_kept": p9_kept,
     "p9_stretches": p9_stretches,
