@@ -81,9 +81,13 @@ def _build(root) -> tuple[object, dict[str, int], list[tuple[str, str, int]]]:
         if isinstance(node, yaml.MappingNode):
             out = {}
             for k, v in node.value:
-                key = loader.construct_object(k, deep=True) if isinstance(k, yaml.ScalarNode) else None
                 at = k.start_mark.line + 1
-                if k.tag == "tag:yaml.org,2002:merge" or not isinstance(k, yaml.ScalarNode):
+                try:
+                    plain = isinstance(k, yaml.ScalarNode)
+                    key = loader.construct_object(k, deep=True) if plain else None
+                except (yaml.YAMLError, ValueError, TypeError, OverflowError, KeyError, AttributeError):
+                    plain = False
+                if not plain:
                     issues.append(("yaml", "a key that is no plain value", at))
                     continue
                 if not isinstance(key, str):
