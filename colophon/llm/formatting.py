@@ -25,7 +25,8 @@ ENTRY = "array<struct<field string, pos int, value string>>"
 def canonical(value: Column) -> Column:
     """Letters, marks and digits of the value without their case; null stays null, a value without any becomes ''."""
     bare = F.regexp_replace(value, r"[^\p{L}\p{M}\p{N}]+", "")
-    return F.lower(F.upper(bare))
+    # the optimizer takes lower(upper(x)) for lower(x), so what capitals don't tell apart is said here
+    return F.replace(F.replace(F.lower(bare), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
 
 
 def canonical_doi(value: Column) -> Column:

@@ -158,17 +158,26 @@ def _plausible(text: str, start: int, end: int) -> bool:
 
 
 def _undo_one(text: str, encoding: str) -> str:
-    table, out, at = _bytes(encoding), [], 0
+    """All sequences of one encoding decoded, but for those that leave a word in two scripts once the others are decoded."""
+    table, found = _bytes(encoding), []
     for m in _pattern(encoding).finditer(text):
         try:
-            good = bytes(table[ch] for ch in m.group()).decode("utf-8")
+            found.append((m.start(), m.end(), bytes(table[ch] for ch in m.group()).decode("utf-8")))
         except (KeyError, UnicodeDecodeError):
             continue
-        trial = text[: m.start()] + good + text[m.end() :]
-        if _plausible(trial, m.start(), m.start() + len(good)):
-            out += [text[at : m.start()], good]
-            at = m.end()
-    return "".join(out) + text[at:]
+    while found:
+        out, at, places = "", 0, []
+        for start, end, good in found:
+            out += text[at:start]
+            places.append(len(out))
+            out += good
+            at = end
+        out += text[at:]
+        kept = [f for f, p in zip(found, places) if _plausible(out, p, p + len(f[2]))]
+        if len(kept) == len(found):
+            return out
+        found = kept
+    return text
 
 
 def _odd(text: str) -> int:
