@@ -37,18 +37,59 @@ NOISE = [
     "[class*=gen-ai__settings]", "img[alt~*=orcid]", "img[alt~*=crossmark]", "img[src*=unknown-user.png]", "img[alt~=plos]", "img[alt~=elsevier]",
     "a.citation--logo img", "a.pdf-download img", "img[alt~^=cover image]", "img[alt~=issue cover]", "img[alt~=arrow]", "img[alt~=pnas logo]",
     "img[src*=-cov150h.]", "img[src*=/pb-assets/journal-banners/]", ".PeopleList img", "a[aria-label^=Homepage for ] img",
-    "img[alt^=The cover image for ]", "img[alt^=Creative Common License - ]",
-]
+    "img[alt^=The cover image for ]", "img[alt^=Creative Common License - ]", "a[title^=Go to ][title*= on ScienceDirect] img",
+    "img[src*=silverchair-cdn.com][src*=/bio/]", "img[src*=silverchair-cdn.com][src*=_bio.]",
+    "img[alt=Processing...]", "img[alt=Advertisement]", "img[alt=Account]", "img[alt=Facebook icon]", "img[alt=X icon]", "img[alt=LinkedIn icon]",
+    "img[alt=Corresponding address]", "img[alt=Popup Image]", "img[alt=Plum X logo]", "img[alt=PlumX Metrics Logo]", "img[alt=Supplementary material: PDF]",
+    "img.license-icon", "#core-collateral-figures", "#collapsible-figures_content",
+]
+# Navigation that is known by a link in it.
+NOISE_BY_LINK = [("nav", "a[href=#cited-by]"), ("nav", "a[href=#metrics]")]
+# Articles whose parts stand apart, as (part, what it needs inside) in order; a part may be left out if optional.
+JOINED = [
+    [("div.col-md-18", ".global-article-title", False), ("#article-overiew-abstract-wrap", "", False)],
+    [("div.doi-isbn", "", True), ("div.pdfView", "#articleAbstractView", False)],
+]
 # Where the article is, tried in order; each narrows the root found so far. longest: the one with most text.
-ROOTS = [
-    ("article", ["#abstracts", "#body"], "longest"),
-    ("#content-inner-wrap", [".article-body"], "first"),
+ROOTS_BEFORE = [("article", ["#abstracts", "#body"], "longest")]
+ROOTS_AFTER = [
+    ("div.content-inner-wrap", [".article-body"], "first"),
     ("#ContentColumn", ["h1", "#references"], "longest"),
+    ("#ContentColumn", ["h1", "text:references"], "longest"),
     ("article", [".article__body"], "longest"),
     ("main.ArticleDetailsV4__main", [], "first"),
-    ("article", [], "longest"),
-    ("main", [], "longest"),
 ]
+# What becomes a figure: wrapper, what it must hold, where its number stands, the pattern of the number, its id.
+# "figure?" is a figure without an id; "@id" is the wrapper's own.
+FIGURES = [
+    ("div.fig.fig-section", "img[path-from-xml]", "img@alt", r"^(?:Figure|Fig\.)\s+(\d+)", "figure-{}"),
+    ("div.fig.fig-section", "img[path-from-xml]", "img@alt", r"^Scheme\s+(\d+)", "scheme-{}"),
+    ("div.graphical-abstract", "img[path-from-xml]", "", "", "visual-abstract"),
+    ("div.table-wrap", ".fig-graphic img[path-from-xml]", "span.title-label@text", r"^Table\s+(\d+)", "table-{}"),
+    ("div[id^=figure]", "img[src^=./Graphics/figure]", "@id", r"^figure(\d+)$", "figure-{}"),
+    ("div[id^=F]", "img[src^=./Graphics/F]", "@id", r"(?i)^F(\d+)$", "figure-{}"),
+    ("figure?", "img[src*=-toc-]", "", "", "visual-abstract"),
+    ("figure?", "img", "a@href", r"(?i)-fig-0*(\d+)([a-z]*)-", "figure-{}{}"),
+    ("figure?", "img", "img@src", r"(?i)-fx(\d+)\.(?:sml|jpg|jpeg|png)$", "equation-{}"),
+    ("figure?", "img", "img@data-src", r"(?i)-fx(\d+)\.(?:sml|jpg|jpeg|png)$", "equation-{}"),
+    ("figure?", "[id]", "[id]@id", r"(?i)^Fig(\d+)$", "figure-{}"),
+    ("figure?", "img[src*=graphical-abstract]", "", "", "visual-abstract"),
+    ("figure?", "img", "figcaption@text", r"(?i)^Figure\s+(\d+)\s*:", "figure-{}"),
+    ("figure?", "img", "figcaption@text", r"(?i)^Scheme\s+(\d+)\s*:", "scheme-{}"),
+    ("div.html-fig-wrap", "img", "", "", ""),
+    ("p", "img[data-alt^=Figure ]", "img@data-alt", r"^Figure\s+(\d+)$", "figure-{}"),
+    ("div[id^=f]", "img", "@id", r"(?i)^f(\d+)-", "figure-{}"),
+    ("div.OncoFigure", "img", "div@id", r"(?i)^F(\d+)$", "figure-{}"),
+    ("div.figure", "img", "a@href", r"/figure/(\d+)(?:[/?#]|$)", "figure-{}"),
+    ("div.figure", "img", "a@href", r"\.g(\d+)(?:\D|$)", "figure-{}"),
+    ("div.figure", "img", "a@href", r"\.t(\d+)(?:\D|$)", "table-{}"),
+    ("div.ArticleFigure[id^=F]", "img[src*=/files/Articles/]", "@id", r"(?i)^F(\d+)$", "figure-{}"),
+    ("div.fig", "img", "img@src", r"(?i)(?:fig|f)0*(\d+)[a-z]?\.jpe?g(?:[?&#]|$)", "figure-{}"),
+    ("div.fig", "img", "img@data-src", r"(?i)(?:fig|f)0*(\d+)[a-z]?\.jpe?g(?:[?&#]|$)", "figure-{}"),
+    ("div.article-section-wrapper", "img[path-from-xml]", "img@path-from-xml", r"(?i)-f0*(\d+)\.tiff?$", "figure-{}"),
+]
+# Controls that hold content, as (where, control, what it becomes).
+KEPT_CONTROLS = [("#author-group", "button", "span"), (".ArticleFigure", "button", "div"), ("figure", "button", "div")]
 # How the id or file name of a figure shows its number.
 FIGURE_NUMBER = [r"(?i)^(?:fig(?:ure)?|f)[-_.]?0*(\d+)", r"(?i)-fig-0*(\d+)", r"(?i)\bfig(?:ure)?\.?\s*0*(\d+)", r"(?i)\.g0*(\d+)\b", r"(?i)fig0*(\d+)\.(?:jpe?g|png|gif|webp)"]
 
@@ -167,14 +208,65 @@ def select(root: Node, selector: str) -> list[Node]:
     return found
 
 
-def article_root(root: Node) -> Node:
-    for selector, needs, which in ROOTS:
-        fits = [n for n in select(root, selector) if all(select(n, s) for s in needs)]
+def _holds(node: Node, need: str) -> bool:
+    if not need:
+        return True
+    if need.startswith("text:"):
+        return need[5:] in node.text().lower()
+    return bool(select(node, need))
+
+
+def _narrow(root: Node, rules: list[tuple[str, list[str], str]]) -> Node:
+    for selector, needs, which in rules:
+        fits = [n for n in select(root, selector) if all(_holds(n, s) for s in needs)]
         if fits:
             root = max(fits, key=lambda n: len(n.text())) if which == "longest" else fits[0]
     return root
 
 
+def article_root(root: Node) -> Node:
+    """The part of the page that is the article; parts that stand apart are joined under a new element."""
+    root = _narrow(root, ROOTS_BEFORE)
+    for parts in JOINED:
+        found = [(next((n for n in select(root, selector) if _holds(n, need)), None), optional) for selector, need, optional in parts]
+        if all(n is not None or optional for n, optional in found):
+            whole = Node("div")
+            for n, _ in found:
+                if n is not None:
+                    n.drop()
+                    n.parent = whole
+                    whole.children.append(n)
+            root = whole
+    return _narrow(root, ROOTS_AFTER)
+
+
+def _readings(node: Node, where: str) -> list[str]:
+    selector, _, name = where.rpartition("@")
+    nodes = [node] if not selector else select(node, selector)
+    return [n.text().strip() if name == "text" else n.attrs.get(name, "").strip() for n in nodes]
+
+
+def promote_figures(root: Node) -> None:
+    """Turns wrappers of scientific images into figures with a stable id, rule by rule."""
+    for wrapper, holds, where, pattern, new_id in FIGURES:
+        for node in select(root, wrapper.rstrip("?")):
+            if wrapper.endswith("?") and node.attrs.get("id") or not _holds(node, holds):
+                continue
+            if where:
+                m = next((m for text in _readings(node, where) if (m := re.search(pattern, text))), None)
+                if m is None:
+                    continue
+                groups = [str(int(g)) if g.isdigit() else g.lower() for g in m.groups()]
+                node.attrs["id"] = new_id.format(*groups)
+            elif new_id:
+                node.attrs["id"] = new_id
+            node.tag = "figure"
+    for where, control, tag in KEPT_CONTROLS:
+        for node in select(root, f"{where} {control}"):
+            if tag == "span" and node.text().strip() or tag == "div" and select(node, "img"):
+                node.tag = tag
+
+
 def render(node: Node | str) -> str:
     if isinstance(node, str):
         return _html.escape(node, quote=False)
@@ -198,23 +290,32 @@ def problems(fragment: str) -> list[str]:
     return found
 
 
+def _remove(nodes: list[Node]) -> int:
+    """Takes elements out of the tree, once each; the text around them stays."""
+    n = 0
+    for node in nodes:
+        if node.parent is not None:
+            node.drop()
+            node.parent = None
+            n += 1
+    return n
+
+
 def clean(page: str, base_url: str = "", assets: dict[str, str] | None = None) -> dict:
     """A page as ``<body>`` fragment, with counts. ``assets`` gives images by address; an image without one is left out, with its
     description in its place if it has one. Text around a removed element stays."""
     tree = parse(page)
     count = {"removed_elements": 0, "removed_attributes": 0, "omitted_images": 0}
     root = article_root(tree)
-    for selector in NOISE + FORBIDDEN:
-        for node in select(root, selector):
-            if node.parent is not None:
-                node.drop()
-                node.parent = None
-                count["removed_elements"] += 1
+    noise = [n for s in NOISE for n in select(root, s)] + [n for s, link in NOISE_BY_LINK for n in select(root, s) if select(n, link)]
+    count["removed_elements"] += _remove(noise)
+    promote_figures(root)
+    count["removed_elements"] += _remove([n for s in FORBIDDEN for n in select(root, s)])
     for tag in UNWRAPPED + ["body", "html", "head"]:
         for node in select(root, tag):
             node.unwrap()
     if root.tag in ("body", "html"):
-        root = Node("#root", {}, root.children)
+        root.tag, root.attrs = "#root", {}
     seen: set[str] = set()
     for img in select(root, "img") if assets is not None else []:
         from urllib.parse import urljoin

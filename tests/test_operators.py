@@ -214,7 +214,7 @@ def test_components(spark):
     assert connected_components(edges.limit(0)).count() == 0
 
 
-PAGE = "<!DOCTYPE html><html><head><title>t</title></head><body><nav>menu</nav><article><h1 class='x' onclick='f()'>T</h1>before<script>bad()</script>after<noscript><p>kept</p></noscript><a href='javascript:x()'>l</a></article></body></html>"
+PAGE = "<!DOCTYPE html><html><head></head><body><nav>menu</nav><article><h1 class='x' onclick='f()'>T</h1>before<script>bad()</script>after<noscript><p>kept</p></noscript><a href='javascript:x()'>l</a></article></body></html>"
 
 
 def test_html_cleaning(spark):
@@ -232,6 +232,29 @@ def test_html_cleaning(spark):
     assert rows[0]["n"] == 2 and rows[0]["b"] == ["doctype", "document", "forbidden"] and rows[1]["c"]["html"] is None
 
 
+def test_article_roots_and_figures():
+    viewer = "<header>chrome</header><div class='doi-isbn'>doi</div><div class='pdfView'><p id='articleAbstractView'>abstract</p></div><footer>end</footer>"
+    assert H.clean(viewer)["html"] == '<body>\n<div><div>doi</div><div><p id="articleAbstractView">abstract</p></div></div>\n</body>'
+    shell = "<nav>x</nav><div class='col-md-18'><h1 class='global-article-title'>T</h1></div><p>ads</p><div id='article-overiew-abstract-wrap'>text</div>"
+    assert "ads" not in H.clean(shell)["html"] and "T" in H.clean(shell)["html"]
+    column = "<p>site</p><div id='ContentColumn'><h1>T</h1><h2>References</h2></div>"
+    assert "site" not in H.clean(column)["html"]
+    pages = {
+        "<div class='figure'><a href='https://x/info:doi/10.1/j.g003'>l</a><img src='a.png'></div>": 'figure id="figure-3"',
+        "<div class='figure'><a href='https://x/j.t002'>l</a><img src='a.png'></div>": 'figure id="table-2"',
+        "<figure><img src='m-toc-1.png'></figure>": 'figure id="visual-abstract"',
+        "<figure><a href='/x-fig-0002a-m'>l</a><img src='a.png'></figure>": 'figure id="figure-2a"',
+        "<figure><img src='a.png'><b id='Fig7'>c</b></figure>": 'figure id="figure-7"',
+        "<p><img data-alt='Figure 4' src='a.png'></p>": 'figure id="figure-4"',
+        "<div id='f5-or-1'><img src='a.png'></div>": 'figure id="figure-5"',
+        "<div class='fig'><img src='ms_f06.jpeg?x'></div>": 'figure id="figure-6"',
+        "<div id='author-group'><button>Ann Author</button><button> </button></div>": "<span>Ann Author</span>",
+    }
+    for page, want in pages.items():
+        assert want in H.clean(page)["html"], page
+    assert "icon" not in H.clean("<p>a</p><img class='license-icon' alt='icon'><nav><a href='#metrics'>m</a></nav>")["html"]
+
+
 def test_figure_numbers(spark):
     df = spark.createDataFrame([("Figure 12 shows", ""), ("", "fig03.jpg"), ("", "x-fig-7-html"), ("none", "x")], "alt string, src string")
     assert [r[0] for r in df.select(H.figure_number(F.col("alt"), F.col("src"))).collect()] == [12, 3, 7, None]
