@@ -144,9 +144,15 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return total.withColumn("filled", F.round(F.col("tokens") / (F.col("containers") * packing.CAPACITY), 6))
 
 
+def p1_record_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """The copies among the records only."""
+    return formatting.formatting_duplicates(formatting.record_values(table(spark, folder, "records")))[1].select("first_id", "copy_id")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_copy_counts": p1_copy_counts,
+    "p1_record_copies": p1_record_copies,
     "p2_found": p2_found,
     "p2_posterior": p2_posterior,
     "p3_found": p3_found,
@@ -167,4 +173,23 @@ QUERIES = {
     "p10_segments": p10_segments,
 }
 
-ORACLES: dict[str, str] = {}
+_DOI = r"""regexp_replace(lower(doi), '^[\s<\[("'']*((https?://)?[a-z0-9.-]*\b(doi|resolver)[a-z0-9.-]*/\s*|doi\s*[:=]?\s*|https?://[^/\s]+/\s*|info:doi/\s*)+', '')"""
+_CANON = r"replace(replace(lower(regexp_replace({0}, '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g')), 'ß', 'ss'), 'ς', 'σ')"
+
+ORACLES: dict[str, str] = {
+    "p1_record_copies": f"""
+WITH k AS (SELECT record_id, {_CANON.format('title')} AS t, {_CANON.format(_DOI)} AS d FROM records WHERE title IS NOT NULL AND doi IS NOT NULL),
+g AS (SELECT t, d, min(record_id) AS first_id, count(*) AS n FROM k GROUP BY 1, 2 HAVING count(*) > 1)
+SELECT first_id, record_id AS copy_id FROM k JOIN g USING (t, d) WHERE record_id <> first_id""",
+    "p2_found": """
+WITH m AS (
+  SELECT DISTINCT g.group_id, r.record_id, lower(regexp_replace(r.title, '[^A-Za-z0-9]+', '', 'g')) AS k, r.publication_year AS y, coalesce(o.trust, 0) AS t, coalesce(r.updated_at, TIMESTAMP '0001-01-01') AS u,
+    len(list_filter(r.authors, lambda a: trim(a.name) <> '' AND lower(trim(a.name)) NOT IN ('et al.', 'et al', 'and others', 'others', '...'))) AS na
+  FROM match_groups g JOIN records r USING (record_id) LEFT JOIN origins o ON o.origin = r.origin),
+x AS (SELECT group_id, max(struct_pack(n := len(k), k := k)) AS top FROM m WHERE k <> '' GROUP BY 1),
+c AS (
+  SELECT m.group_id, 'title' AS field_name, record_id, t, u, CASE WHEN len(m.k) < x.top.n AND (starts_with(x.top.k, m.k) OR len(m.k) < 0.85 * x.top.n) THEN 0 ELSE 1 END AS complete FROM m JOIN x USING (group_id) WHERE m.k <> ''
+  UNION ALL SELECT group_id, 'authors', record_id, t, u, na FROM m WHERE na > 0
+  UNION ALL SELECT group_id, 'publication_year', record_id, t, u, 1 FROM m WHERE y IS NOT NULL)
+SELECT group_id, field_name, record_id FROM c QUALIFY row_number() OVER (PARTITION BY group_id, field_name ORDER BY complete DESC, t DESC, u DESC, record_id) = 1""",
+}
