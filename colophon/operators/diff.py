@@ -117,3 +117,20 @@ def first_sent(log: DataFrame) -> DataFrame:
 def late(log: DataFrame, allowed: str = "1 day") -> DataFrame:
     """Changes that arrived more than ``allowed`` after they were made."""
     return log.where(F.col("arrived_at") > F.col("changed_at") + F.expr(f"interval {allowed}"))
+
+
+def markdown(changes: DataFrame, title: str = "Changes", shown: int = 100) -> str:
+    """A report: counts by kind, the ids of each kind, and the first ``shown`` changes in order with the number of those left out."""
+    from colophon.operators.constraints import compressed_ids, id_ranges
+
+    counts = kind_counts(changes).first()
+    lines = [f"# {title}", "", ", ".join(f"{counts[k]} {k}" for k in KINDS), ""]
+    for k in KINDS:
+        if counts[k]:
+            ids = changes.where(F.col("kind") == k).select(F.coalesce("new_id", "old_id").alias("id"))
+            lines.append(f"- {k.capitalize()}: {compressed_ids(id_ranges(ids, 'id'))}")
+    lines += ["", "| kind | old | new | fields |", "| --- | --- | --- | --- |"]
+    for r in changes.orderBy(F.coalesce("new_path", "old_path"), "kind").limit(shown).collect():
+        lines.append(f"| {r['kind']} | {r['old_path'] or ''} | {r['new_path'] or ''} | {', '.join(r['changed_fields'] or [])} |")
+    rest = sum(counts[k] for k in KINDS) - shown
+    return "\n".join(lines + (["", f"{rest} additional changes omitted."] if rest > 0 else [])) + "\n"

@@ -69,3 +69,30 @@ def test_inventory(spark, tmp_path):
     assert rows["b.gif"]["format"] == "GIF" and rows["c.txt"]["kind"] == "unhandled" and rows["d.xlsx"]["sheets"] == ["One", "Two"]
     assert A.image_header(b"junk") is None and A.sheet_names(b"PKx") is None
     A.write_inventory(A.inventory(spark, str(tmp_path)), str(tmp_path / "out"))
+
+
+def test_snapshots(spark, tmp_path):
+    from colophon.operators import diff as D
+    from colophon.sources import snapshots as N
+
+    root = str(tmp_path)
+    rows = [(f"00000000{i}", f"Title {i}", f"J{i}", [f"a{i}{k}" for k in range(8)]) for i in range(1, 5)]
+    schema = "record_id string, title string, journal string, authors array<string>"
+    old = spark.createDataFrame(rows, schema)
+    N.save(old, root, "records", "1")
+    N.save(old.where("record_id <> '000000001'"), root, "records", "2")
+    N.save(old.where("record_id <> '000000002'"), root, "records", "3")
+    assert N.versions(spark, root, "records") == ["1", "2", "3"] and N.load(spark, root, "records").count() == 3
+    direct = {(r["kind"], r["old_id"] or r["new_id"]) for r in N.changes(spark, root, "records", "2", "3").collect()}
+    assert direct == {("added", "000000001"), ("removed", "000000002")}
+    forked = N.changes(spark, root, "records", "2", "3", "merge-base", "1")
+    assert {(r["kind"], r["old_id"]) for r in forked.collect()} == {("removed", "000000002")}
+    assert "1 removed" in D.markdown(forked) and "00002" in D.markdown(forked)
+    seen = {r["record_id"]: (r["first_seen"], r["last_seen"]) for r in N.history(spark, root, "records").collect()}
+    assert seen["000000001"] == ("1", "3") and seen["000000002"] == ("1", "2")
+    back = N.changes(spark, root, "records", "2", "3")
+    assert [r["new_id"] for r in D.reused_ids(back, N.history(spark, root, "records", "2")).collect()] == ["000000001"]
+    for args, code in (((root, "records", "2", "3", "odd"), "comparison"), ((root, "records", "2", "3", "merge-base"), "merge_base"), ((root, "records", "2", "9"), "invalid_revision")):
+        with pytest.raises(N.SnapshotError) as e:
+            N.changes(spark, *args)
+        assert e.value.code == code
