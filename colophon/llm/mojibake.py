@@ -134,7 +134,7 @@ def _pattern(encoding: str) -> re.Pattern:
 
 # Scripts that are told apart, and the characters that a restored text may gain.
 SCRIPTS = ("LATIN", "GREEK", "CYRILLIC")
-ORDINARY = [(0xA0, 0x17F), (0x218, 0x21B), (0x370, 0x45F), (0x490, 0x491), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x20A0, 0x23FF), (0x2500, 0x25FF), (0x3000, 0x9FFF), (0xAC00, 0xD7A3), (0xFB00, 0xFB06), (0xFF00, 0xFFEF)]
+ORDINARY = [(0xA0, 0x17F), (0x192, 0x192), (0x218, 0x21B), (0x2C6, 0x2C6), (0x2DC, 0x2DC), (0x370, 0x45F), (0x490, 0x491), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x20A0, 0x23FF), (0x2500, 0x25FF), (0x3000, 0x9FFF), (0xAC00, 0xD7A3), (0xFB00, 0xFB06), (0xFF00, 0xFFEF)]
 
 
 @lru_cache(maxsize=65536)
@@ -162,9 +162,13 @@ def _undo_one(text: str, encoding: str) -> str:
     table, found = _bytes(encoding), []
     for m in _pattern(encoding).finditer(text):
         try:
-            found.append((m.start(), m.end(), bytes(table[ch] for ch in m.group()).decode("utf-8")))
+            good = bytes(table[ch] for ch in m.group()).decode("utf-8")
         except (KeyError, UnicodeDecodeError):
             continue
+        # letters inside a word don't stand for anything but letters
+        word = m.group().isalpha() and (text[m.start() - 1 : m.start()].isalpha() or text[m.end() : m.end() + 1].isalpha())
+        if not word or good.isalpha():
+            found.append((m.start(), m.end(), good))
     while found:
         out, at, places = "", 0, []
         for start, end, good in found:
