@@ -147,6 +147,8 @@ def _plausible(text: str, start: int, end: int) -> bool:
     """Whether the part of the text holds ordinary characters only and the words it touches are of one script each."""
     for at in range(start, end):
         ch = text[at]
+        if ch == "\xad" and (at == 0 or not text[at - 1].isalpha()):
+            return False  # a soft hyphen doesn't open a word
         mark = 0x300 <= ord(ch) < 0x370 and at > 0 and text[at - 1].isalpha()
         if not (mark or 0x80 <= ord(ch) < 0xA0 or any(a <= ord(ch) <= b for a, b in ORDINARY)) or unicodedata.category(ch) in ("Cn", "Co"):
             return False
