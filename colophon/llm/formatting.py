@@ -17,7 +17,7 @@ from colophon.operators.skew import lookup_join
 from colophon.session import materialize
 
 # What may stand before a DOI and belongs to its notation.
-DOI_LABEL = r"^[\s<\[(\"']*(?:(?:https?://)?[a-z0-9.-]*\b(?:doi|resolver)[a-z0-9.-]*/\s*|doi\s*[:=]?\s*|https?://[^/\s]+/\s*|info:doi/\s*)+"
+DOI_LABEL = r"^[\s<\[(\"']*(?:(?:https?://)?[a-z0-9.-]*\b(?:doi|resolver)[a-z0-9.-]*/\s*|doi\s*[:=]?\s*|https?://[^/\s]+/\s*|info:doi/\s*){1,4}"
 
 ENTRY = "array<struct<field string, pos int, value string>>"
 
@@ -56,7 +56,7 @@ def _entries(body: str | None) -> list[tuple[str, int, str]]:
         return []
     try:
         doc = json.loads(body)
-    except ValueError:
+    except (ValueError, RecursionError):
         return _plain(body)
     if not isinstance(doc, dict):
         return _plain(body)

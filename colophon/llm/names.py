@@ -45,6 +45,9 @@ AROUND_GROUPS = {"the", "of", "for", "and", "on", "behalf", "a"}
 FILLERS = ["et al.", "et al", "and others", "others", "anonymous", "n/a"]
 NO_DECOMPOSITION = {"ø": "o", "ł": "l", "đ": "d", "ı": "i", "ħ": "h", "ŧ": "t", "æ": "ae", "œ": "oe", "ð": "d", "þ": "th", "ß": "ss"}
 
+#: From this length on, names are compared for typing errors by their two ends.
+LONG = 100
+
 PARSED = "kind string, given string, middle string, surname string, initials boolean"
 
 
@@ -105,10 +108,14 @@ def _typing_errors(identities: DataFrame) -> DataFrame:
     text = F.concat_ws("|", "given", "middle", "surname")
     one = identities.select("key", "kind", "given", "middle", "surname", text.alias("text"))
     drops = F.transform(F.sequence(F.lit(1), F.length("text")), lambda i: F.concat(F.substring("text", F.lit(1), i - 1), F.substring("text", i + 1, F.length("text"))))
-    forms = one.withColumn("form", F.explode(F.array_distinct(F.concat(F.array("text"), drops))))
+    # in a long text one error leaves the beginning or the end as it is, which takes two forms instead of one a character
+    none = F.array().cast("array<string>")
+    short = F.when(F.length("text") <= LONG + 1, F.concat(F.array("text"), drops)).otherwise(none)
+    long = F.when(F.length("text") >= LONG - 1, F.array(F.concat(F.lit("<"), F.left("text", F.lit(LONG // 2 - 5))), F.concat(F.lit(">"), F.right("text", F.lit(LONG // 2 - 5))))).otherwise(none)
+    forms = one.withColumn("form", F.explode(F.array_distinct(F.concat(short, long))))
     a, b = [forms.select("form", "kind", "middle", *[F.col(c).alias(f"{x}_{c}") for c in ("key", "given", "surname", "text")]) for x in "ab"]
     pairs = a.join(b, ["form", "kind", "middle"]).where("a_key < b_key").select("a_key", "b_key", "a_given", "b_given", "a_surname", "b_surname", "a_text", "b_text").distinct()
-    distance = F.levenshtein("a_text", "b_text")
+    distance = F.levenshtein("a_text", "b_text", 2)
     swapped = (distance == 2) & (F.length("a_text") == F.length("b_text")) & (F.array_sort(F.split("a_text", "")) == F.array_sort(F.split("b_text", "")))
     pairs = pairs.where((distance == 1) | swapped)
     for col, uses in (("given", givens), ("surname", families)):

@@ -173,7 +173,7 @@ QUERIES = {
     "p10_segments": p10_segments,
 }
 
-_DOI = r"""regexp_replace(lower(doi), '^[\s<\[("'']*((https?://)?[a-z0-9.-]*\b(doi|resolver)[a-z0-9.-]*/\s*|doi\s*[:=]?\s*|https?://[^/\s]+/\s*|info:doi/\s*)+', '')"""
+_DOI = r"""regexp_replace(lower(doi), '^[\s<\[("'']*((https?://)?[a-z0-9.-]*\b(doi|resolver)[a-z0-9.-]*/\s*|doi\s*[:=]?\s*|https?://[^/\s]+/\s*|info:doi/\s*){1,4}', '')"""
 _CANON = r"replace(replace(lower(regexp_replace({0}, '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g')), 'ß', 'ss'), 'ς', 'σ')"
 
 ORACLES: dict[str, str] = {

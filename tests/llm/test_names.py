@@ -40,3 +40,10 @@ def test_established_names_are_no_typing_errors(spark):
     rows = [(f"{g} {s}", None) for g in ("Marta", "Maria") for s in surnames]
     assert linked(spark, rows) == set()
     assert linked(spark, []) == set()
+
+
+def test_long_names(spark):
+    long = "Anna " + "abcdefghij" * 3000
+    rows = [(long, None), (long[:-9] + "x" + long[-9:], None), (long[:9] + "y" + long[9:], None)] + [("Bea " + "k" * n + "lmnop" * 18, None) for n in (5, 6)]
+    got = linked(spark, rows)
+    assert len(got) == 4 and all(a[:3] == b[:3] for a, b in got)
