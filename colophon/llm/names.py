@@ -112,9 +112,11 @@ def _typing_errors(identities: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     short = F.when(F.length("text") <= LONG + 1, F.concat(F.array("text"), drops)).otherwise(none)
     long = F.when(F.length("text") >= LONG - 1, F.array(F.concat(F.lit("<"), F.left("text", F.lit(LONG // 2 - 5))), F.concat(F.lit(">"), F.right("text", F.lit(LONG // 2 - 5))))).otherwise(none)
-    forms = one.withColumn("form", F.explode(F.array_distinct(F.concat(short, long))))
-    a, b = [forms.select("form", "kind", "middle", *[F.col(c).alias(f"{x}_{c}") for c in ("key", "given", "surname", "text")]) for x in "ab"]
-    pairs = a.join(b, ["form", "kind", "middle"]).where("a_key < b_key").select("a_key", "b_key", "a_given", "b_given", "a_surname", "b_surname", "a_text", "b_text").distinct()
+    # only hashes and keys meet; the pairs, which are few, then get the rest and are verified
+    met = one.select("key", F.explode(F.array_distinct(F.concat(short, long))).alias("form"), "kind", "middle").select("key", F.xxhash64("kind", "middle", "form").alias("h"))
+    met = met.select("h", F.col("key").alias("a_key")).join(met.select("h", F.col("key").alias("b_key")), "h").where("a_key < b_key").select("a_key", "b_key").distinct()
+    a, b = [one.select(*[F.col(c).alias(f"{x}_{c}") for c in ("key", "kind", "given", "middle", "surname", "text")]) for x in "ab"]
+    pairs = met.join(a, "a_key").join(b, "b_key").where("a_kind = b_kind and a_middle = b_middle")
     distance = F.levenshtein("a_text", "b_text", 2)
     swapped = (distance == 2) & (F.length("a_text") == F.length("b_text")) & (F.array_sort(F.split("a_text", "")) == F.array_sort(F.split("b_text", "")))
     pairs = pairs.where((distance == 1) | swapped)
