@@ -1,23 +1,28 @@
 """Template residue, filler, error and access pages, and notices asking for scripts, in or beside real text.
 
 Texts are cut into segments. Segments that show a sure sign (a placeholder in template syntax, a stock phrase) carry a
-trusted label. Labels spread to near-duplicates: segments get a SimHash, tables partitioned by a block of its bits bring
-candidates together, Hamming distance and text similarity are verified, and the spreading goes on from the newly labelled
-until the connected component of each trusted segment is exhausted.
+trusted label. Labels spread to near-duplicates: length, letters and letter pairs bound the edit distance from below, what
+the bounds leave is verified by the edit distance itself, so that no pair within the similarity is lost, and the spreading
+goes on from the newly labelled until the connected component of each trusted segment is exhausted.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colophon.session import materialize
 
-BITS, TABLES, BLOCK_BITS = 64, 4, 16
-HAMMING = 12
 SIMILARITY = 0.8
+#: Letters of labelled segments that one pass compares with all others; more take further passes.
+BLOCK = 500_000
+#: Classes of characters and of pairs of them that are counted: a-z, 0 and space have their own, others share.
+OWN, CLASSES, PAIRS = 28, 64, 1024
 #: Shorter segments say too little for a near-duplicate; they count if they carry a label themselves.
 LEAST_WORDS = 4
 #: A word is filler if so many of the known filler segments have it; a segment is filler if most of its words are.
@@ -229,53 +234,124 @@ def simhash_array(texts: pa.Array) -> pa.Array:
     return pa.array(out, pa.int64())
 
 
-def _simhash(texts: pa.Array) -> pa.Array:
-    return simhash_array(texts)
+def _class_of(codes: np.ndarray) -> np.ndarray:
+    out = OWN + codes % (CLASSES - OWN)
+    out = np.where((codes >= 97) & (codes <= 122), codes - 97, out)
+    return np.where(codes == 48, 26, np.where(codes == 32, 27, out)).astype(np.int64)
+
+
+def profiles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Length of each text, how often each class of characters occurs in it, and each class of pairs of neighbours."""
+    n, lengths = len(texts), np.array([len(t) for t in texts], np.int64)
+    letter = _class_of(np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64))
+    row = np.repeat(np.arange(n), lengths)
+    one, two = letter[:-1], letter[1:]
+    pair = np.where((one < OWN) & (two < OWN), one * OWN + two, OWN * OWN + (one * CLASSES + two) % (PAIRS - OWN * OWN))
+    inside = row[:-1] == row[1:]
+    letters = np.bincount(row * CLASSES + letter, minlength=n * CLASSES).reshape(n, CLASSES)
+    pairs = np.bincount(row[:-1][inside] * PAIRS + pair[inside], minlength=n * PAIRS).reshape(n, PAIRS)
+    return lengths, np.minimum(letters, 32767).astype(np.int16), np.minimum(pairs, 32767).astype(np.int16)
+
+
+def allowed(longest):
+    """Edits that two texts may be apart, the longer of which has so many characters; for numbers, arrays and columns."""
+    edits = longest * (1 - SIMILARITY) + 1e-6
+    return F.floor(edits).cast("int") if isinstance(edits, Column) else np.floor(edits)
 
 
-def simhash(text: Column) -> Column:
-    """64-bit SimHash of the text's three-byte grams."""
-    return F.arrow_udf(_simhash, "long")(text)
+class Seeds:
+    """Labelled segments with their profiles, to be compared with all others."""
 
+    def __init__(self, norms: list[str]):
+        self.norms = norms
+        self.lengths, self.letters, self.pairs = profiles(norms)
 
-def _block(h: Column, table: int) -> Column:
-    return F.shiftrightunsigned(h, table * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
 
+def _apart(counts: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """What one of two texts has more of than the other, on the side where it is most."""
+    difference = counts - seed
+    more = np.maximum(difference, 0).sum(1, dtype=np.int64)
+    return np.maximum(more, more - difference.sum(1, dtype=np.int64))
 
-def _tables(df: DataFrame, probes: bool) -> DataFrame:
-    """One row a table; with ``probes`` also the blocks one bit away."""
-    masks = [0] + [1 << b for b in range(BLOCK_BITS)] if probes else [0]
-    blocks = F.array(*[F.struct(F.lit(t).alias("table"), _block(F.col("hash"), t).alias("block")) for t in range(TABLES)])
-    out = df.withColumn("t", F.explode(blocks)).select("norm", "hash", "t.table", "t.block")
-    if probes:
-        out = out.withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks]))).withColumn("block", F.col("block").bitwiseXOR(F.col("mask"))).drop("mask")
+
+def candidates(texts: list[str], seeds: Seeds) -> list[list[str]]:
+    """For each text the seeds that may be within the similarity; none that is gets lost.
+
+    An edit makes or removes one character and two pairs of neighbours at most, so k edits leave no more than k characters
+    and 2k pairs without a counterpart; counting in classes, and up to a bound, only brings texts nearer together.
+    """
+    out: list[list[str]] = [[] for _ in texts]
+    order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+    at = 0
+    while at < len(order):  # chunks of texts of like length keep the tables small
+        end, size = at, 0
+        while end < len(order) and end - at < 2048 and (end == at or size + len(texts[order[end]]) <= 1_000_000):
+            size += len(texts[order[end]])
+            end += 1
+        chunk = order[at:end]
+        lengths, letters, pairs = profiles([texts[i] for i in chunk])
+        for k in np.flatnonzero((seeds.lengths * SIMILARITY <= lengths[-1] + 1e-6) & (lengths[0] * SIMILARITY <= seeds.lengths + 1e-6)):
+            own = seeds.lengths[k]
+            low, high = np.searchsorted(lengths, own * SIMILARITY - 1e-6), np.searchsorted(lengths, own / SIMILARITY + 1e-6, "right")
+            edits = allowed(np.maximum(lengths[low:high], own))
+            rest = np.flatnonzero(_apart(letters[low:high], seeds.letters[k]) <= edits)
+            if len(rest):
+                rest = rest[_apart(pairs[low:high][rest], seeds.pairs[k]) <= 2 * edits[rest]]
+            for i in rest + low:
+                out[chunk[i]].append(seeds.norms[k])
+        at = end
     return out
 
 
+def is_near(norm: Column, other: Column) -> Column:
+    """Whether the edit similarity of two segments is SIMILARITY at least."""
+    return F.call_function("levenshtein", norm, other, allowed(F.greatest(F.length(norm), F.length(other)))) >= 0
+
+
+def _blocks(frontier: DataFrame) -> Iterator[list[str]]:
+    block: list[str] = []
+    size = 0
+    for r in frontier.select("norm").toLocalIterator():
+        block.append(r["norm"])
+        size += len(r["norm"])
+        if size >= BLOCK:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
+def _asker(shared: Broadcast):
+    def ask(texts: pa.Array) -> pa.Array:
+        return pa.array(candidates(texts.to_pylist(), shared.value), pa.list_(pa.string()))
+
+    return ask
+
+
+def near(rest: DataFrame, frontier: DataFrame) -> DataFrame:
+    """``norm`` of the rest that are near-duplicates of one in the frontier, which is broadcast in blocks of about BLOCK letters."""
+    result = None
+    for block in _blocks(frontier):
+        ask = _asker(rest.sparkSession.sparkContext.broadcast(Seeds(block)))
+        asked = rest.select("norm", F.arrow_udf(ask, "array<string>")("norm").alias("seeds"))
+        found = asked.where(F.exists("seeds", lambda s: is_near(F.col("norm"), s))).select("norm")
+        result = found if result is None else result.unionByName(found)
+    return rest.select("norm").limit(0) if result is None else result.distinct()
+
+
 def spread(distinct: DataFrame) -> DataFrame:
-    """``norm`` of the segments that near-duplicates of trusted ones reach. ``distinct`` has norm, hash and trusted.
+    """``norm`` of the segments that near-duplicates of trusted ones reach. ``distinct`` has norm and trusted.
 
-    Each round joins the newly labelled, with the blocks one bit away, to all others of like length; the labelled are few.
+    Each round compares the newly labelled, which are few, with all others of like length.
     """
-    trusted = distinct.where("trusted")
-    frontier = materialize(trusted.select("norm", "hash"), "seeds")
-    lengths = frontier.agg(F.min(F.length("norm")), F.max(F.length("norm"))).first()
-    if lengths[0] is None:
-        return trusted.select("norm")
-    rest = distinct.where(~F.col("trusted")).where(F.length("norm").between(int(lengths[0] * SIMILARITY ** 2), int(lengths[1] / SIMILARITY ** 2) + 1))
-    table = materialize(_tables(rest.select("norm", "hash"), False), "tables")
-    reached = [frontier.select("norm")]
+    frontier = materialize(distinct.where("trusted").select("norm"), "seeds")
+    rest = distinct.where(~F.col("trusted")).select("norm")
+    reached = [frontier]
     for _ in range(ROUNDS):
-        probe = _tables(frontier, True).select(F.col("norm").alias("from_norm"), F.col("hash").alias("from_hash"), "table", "block")
-        near = table.join(probe, ["table", "block"]).where(F.bit_count(F.col("hash").bitwiseXOR(F.col("from_hash"))) <= HAMMING)
-        longest = F.greatest(F.length("norm"), F.length("from_norm"))
-        close = near.where(F.least(F.length("norm"), F.length("from_norm")) >= SIMILARITY * longest)
-        close = close.select("norm", "hash", "from_norm").distinct().where(F.levenshtein("norm", "from_norm") <= (1 - SIMILARITY) * F.greatest(F.length("norm"), F.length("from_norm")))
-        new = close.select("norm", "hash").distinct().join(reached_of(reached), "norm", "left_anti")
-        frontier = materialize(new, "reached")
+        frontier = materialize(near(rest, frontier).join(reached_of(reached), "norm", "left_anti"), "reached")
         if frontier.isEmpty():
             break
-        reached.append(frontier.select("norm"))
+        reached.append(frontier)
     return reached_of(reached)
 
 
@@ -301,13 +377,13 @@ def residue_segments(documents: DataFrame) -> DataFrame:
     sure = (F.col("reason") == "phrase") & (words >= LEAST_WORDS) & (words <= 30)
     distinct = marked.where(words >= LEAST_WORDS).where((words <= 40) & (F.length("norm") <= 800)).where(F.coalesce(F.col("reason") == "phrase", F.lit(True)))
     distinct = distinct.groupBy("norm").agg(F.max(F.coalesce(sure, F.lit(False))).alias("trusted"))
-    distinct = materialize(distinct.withColumn("hash", simhash(F.col("norm"))), "segments")
-    near = materialize(spread(distinct).distinct(), "spread")
+    distinct = materialize(distinct, "segments")
+    reached = materialize(spread(distinct).distinct(), "spread")
     by_label = marked.where("reason is not null")
-    near = near.join(distinct.where("trusted").select("norm"), "norm", "left_anti")
-    if near.isEmpty():
+    reached = reached.join(distinct.where("trusted").select("norm"), "norm", "left_anti")
+    if reached.isEmpty():
         return by_label
-    by_spread = marked.where("reason is null").join(near, "norm").withColumn("reason", F.lit("near-duplicate"))
+    by_spread = marked.where("reason is null").join(reached, "norm").withColumn("reason", F.lit("near-duplicate"))
     return by_label.unionByName(by_spread.select(*by_label.columns))
 
 

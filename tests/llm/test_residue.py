@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -59,3 +61,37 @@ def test_placeholders(spark):
     rows = ["{{x}}", "[Insert title here]", "<abstract goes here>", "(TODO: add x)", "XXX Year XXX", "__doi__", "%%body%%", "#{Title}", "{doi|default}", "&lt;year&gt;", "<!-- notes -->", "a [12] b", "{1, 2}", "<i>x</i>", "the mark {{x}} is replaced"]
     df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, s string")
     assert [r[0] for r in df.where(M.has_placeholder(F.col("s"))).select("i").orderBy("i").collect()] == list(range(11))
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def reworded(n):
+    """Notices of 8 to 12 words and copies of them with one or two words exchanged."""
+    rng = random.Random(7)
+    words = "please enable the reader page browser script support before you open this article again later because our server needs more time to show it".split()
+    notices = [" ".join(rng.choices(words, k=rng.randint(8, 12))) for _ in range(12)]
+    copies = []
+    for i in range(n):
+        w = notices[i % 12].split()
+        for _ in range(rng.randint(1, 2)):
+            w[rng.randrange(len(w))] = rng.choice(["nimbus", "ÿ", "turn", "vortakel", "ok", "catalogue"])
+        copies.append(" ".join(w))
+    return notices, copies
+
+
+def test_no_near_duplicate_is_lost(spark):
+    notices, copies = reworded(240)
+    pairs = {(c, n) for c in copies for n in notices if distance(c, n) * 5 <= max(len(c), len(n))}
+    assert len(pairs) > 100
+    found = dict(zip(copies, M.candidates(copies, M.Seeds(notices))))
+    assert all(n in found[c] for c, n in pairs)
+    distinct = spark.createDataFrame([(n, True) for n in notices] + [(c, False) for c in set(copies)], "norm string, trusted boolean")
+    got = {r[0] for r in M.near(distinct.where("not trusted"), distinct.where("trusted")).collect()}
+    assert got == {c for c, _ in pairs}
