@@ -186,6 +186,11 @@ def _placeholder(segment: Column) -> Column:
     return F.regexp_replace(segment, SPOKEN_OF, " ").rlike(ANY_PLACEHOLDER)
 
 
+def mostly_template(segment: Column, norm: Column) -> Column:
+    """Whether placeholders make up half of a segment at least; what they are filled in with then leaves no near-duplicate."""
+    return F.length(normal(F.regexp_replace(segment, ANY_PLACEHOLDER, " "))) * 2 <= F.length(norm)
+
+
 def has_phrase(segment: Column) -> Column:
     return segment.rlike(ANY_PHRASE)
 
@@ -373,16 +378,13 @@ def residue_segments(documents: DataFrame) -> DataFrame:
         share = F.size(F.filter(F.split("norm", " "), lambda w: w.isin(filler))) / words
         marked = marked.withColumn("reason", F.coalesce("reason", F.when((words >= LEAST_WORDS) & (share >= MOSTLY), F.lit("filler"))))
     marked = materialize(marked, "marked")
-    # a phrase is trusted to spread only where nothing else stands in the segment
-    sure = (F.col("reason") == "phrase") & (words >= LEAST_WORDS) & (words <= 30)
-    distinct = marked.where(words >= LEAST_WORDS).where((words <= 40) & (F.length("norm") <= 800)).where(F.coalesce(F.col("reason") == "phrase", F.lit(True)))
+    # a phrase is trusted to spread only where nothing else stands in the segment, a placeholder where it is most of it
+    sure = (words >= LEAST_WORDS) & (((F.col("reason") == "phrase") & (words <= 30)) | ((F.col("reason") == "placeholder") & mostly_template(F.col("segment"), F.col("norm"))))
+    distinct = marked.where(words >= LEAST_WORDS).where((words <= 40) & (F.length("norm") <= 800))
     distinct = distinct.groupBy("norm").agg(F.max(F.coalesce(sure, F.lit(False))).alias("trusted"))
     distinct = materialize(distinct, "segments")
     reached = materialize(spread(distinct).distinct(), "spread")
     by_label = marked.where("reason is not null")
-    reached = reached.join(distinct.where("trusted").select("norm"), "norm", "left_anti")
-    if reached.isEmpty():
-        return by_label
     by_spread = marked.where("reason is null").join(reached, "norm").withColumn("reason", F.lit("near-duplicate"))
     return by_label.unionByName(by_spread.select(*by_label.columns))
 

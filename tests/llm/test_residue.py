@@ -95,3 +95,11 @@ def test_no_near_duplicate_is_lost(spark):
     distinct = spark.createDataFrame([(n, True) for n in notices] + [(c, False) for c in set(copies)], "norm string, trusted boolean")
     got = {r[0] for r in M.near(distinct.where("not trusted"), distinct.where("trusted")).collect()}
     assert got == {c for c, _ in pairs}
+
+
+def test_templates_spread(spark):
+    """Template sentences hand on their label to copies with delimiters that no pattern knows; real text with one field doesn't."""
+    real = "{{ligand}} binding to hairpin RNA was measured in three series of yeast at 25 degrees."
+    texts = ["Published in {{ record.journal }}.", "Published in «record.journal».", "Publlshed in §record journal§", real, real.replace("{{ligand}}", "ligands")]
+    rows = M.residue_segments(documents(spark, texts)).collect()
+    assert {(r["doc_id"], r["reason"]) for r in rows} == {(0, "placeholder"), (1, "near-duplicate"), (2, "near-duplicate"), (3, "placeholder")}
