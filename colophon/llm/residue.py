@@ -25,6 +25,8 @@ BLOCK = 500_000
 OWN, CLASSES, PAIRS = 28, 64, 1024
 #: Shorter segments say too little for a near-duplicate; they count if they carry a label themselves.
 LEAST_WORDS = 4
+#: A segment of more words than LONG hands on its label only to those whose first OPENING words are alike too: the rest may be real text.
+LONG, OPENING = 40, 10
 #: A word is filler if so many of the known filler segments have it; a segment is filler if most of its words are.
 FILLER_SHARE = 0.05
 MOSTLY = 0.8
@@ -313,6 +315,12 @@ def is_near(norm: Column, other: Column) -> Column:
     return F.call_function("levenshtein", norm, other, allowed(F.greatest(F.length(norm), F.length(other)))) >= 0
 
 
+def hands_on(seed: Column, norm: Column) -> Column:
+    """Whether a labelled segment hands on its label to another one: they are near, and so are their openings if it is long."""
+    opening = is_near(F.substring_index(seed, " ", OPENING), F.substring_index(norm, " ", OPENING))
+    return is_near(seed, norm) & ((F.size(F.split(seed, " ")) <= LONG) | opening)
+
+
 def _blocks(frontier: DataFrame) -> Iterator[list[str]]:
     block: list[str] = []
     size = 0
@@ -339,7 +347,7 @@ def near(rest: DataFrame, frontier: DataFrame) -> DataFrame:
     for block in _blocks(frontier):
         ask = _asker(rest.sparkSession.sparkContext.broadcast(Seeds(block)))
         asked = rest.select("norm", F.arrow_udf(ask, "array<string>")("norm").alias("seeds"))
-        found = asked.where(F.exists("seeds", lambda s: is_near(F.col("norm"), s))).select("norm")
+        found = asked.where(F.exists("seeds", lambda s: hands_on(s, F.col("norm")))).select("norm")
         result = found if result is None else result.unionByName(found)
     return rest.select("norm").limit(0) if result is None else result.distinct()
 
@@ -378,9 +386,9 @@ def residue_segments(documents: DataFrame) -> DataFrame:
         share = F.size(F.filter(F.split("norm", " "), lambda w: w.isin(filler))) / words
         marked = marked.withColumn("reason", F.coalesce("reason", F.when((words >= LEAST_WORDS) & (share >= MOSTLY), F.lit("filler"))))
     marked = materialize(marked, "marked")
-    # a phrase is trusted to spread only where nothing else stands in the segment, a placeholder where it is most of it
-    sure = (words >= LEAST_WORDS) & (((F.col("reason") == "phrase") & (words <= 30)) | ((F.col("reason") == "placeholder") & mostly_template(F.col("segment"), F.col("norm"))))
-    distinct = marked.where(words >= LEAST_WORDS).where((words <= 40) & (F.length("norm") <= 800))
+    # a phrase is trusted where the segment opens with it, a placeholder where it is most of the segment
+    sure = (words >= LEAST_WORDS) & ((F.col("reason") == "phrase") | ((F.col("reason") == "placeholder") & mostly_template(F.col("segment"), F.col("norm"))))
+    distinct = marked.where(words >= LEAST_WORDS)
     distinct = distinct.groupBy("norm").agg(F.max(F.coalesce(sure, F.lit(False))).alias("trusted"))
     distinct = materialize(distinct, "segments")
     reached = materialize(spread(distinct).distinct(), "spread")

@@ -103,3 +103,11 @@ def test_templates_spread(spark):
     texts = ["Published in {{ record.journal }}.", "Published in «record.journal».", "Publlshed in §record journal§", real, real.replace("{{ligand}}", "ligands")]
     rows = M.residue_segments(documents(spark, texts)).collect()
     assert {(r["doc_id"], r["reason"]) for r in rows} == {(0, "placeholder"), (1, "near-duplicate"), (2, "near-duplicate"), (3, "placeholder")}
+
+
+def test_long_segments(spark):
+    """A long access page on one line hands on its label; real text that stands behind a notice on one line gets none."""
+    page = "Please enable JavaScript " + " ".join(f"and gate{chr(97 + i)} keeper{chr(97 + i)} must open the door of hall {chr(97 + i)}" for i in range(12))
+    tail = " ".join(f"ligand {chr(97 + i)} binds hairpin {chr(98 + i)} in yeast" for i in range(14))
+    texts = [page, page.replace("Please enable JavaScript", "Please enabIe Java Script"), "Page not found go back to start " + tail, tail]
+    assert {(r["doc_id"], r["reason"]) for r in M.residue_segments(documents(spark, texts)).collect()} == {(0, "phrase"), (1, "near-duplicate"), (2, "phrase")}
