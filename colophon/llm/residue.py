@@ -30,7 +30,6 @@ LONG, OPENING = 40, 10
 #: A word is filler if so many of the known filler segments have it; a segment is filler if most of its words are.
 FILLER_SHARE = 0.05
 MOSTLY = 0.8
-ROUNDS = 12
 
 # How templates mark what is still to be filled in. FIELD stands for the name of a field.
 FIELD = r"[A-Za-z][A-Za-z_. ]{0,40}"
@@ -355,24 +354,15 @@ def near(rest: DataFrame, frontier: DataFrame) -> DataFrame:
 def spread(distinct: DataFrame) -> DataFrame:
     """``norm`` of the segments that near-duplicates of trusted ones reach. ``distinct`` has norm and trusted.
 
-    Each round compares the newly labelled, which are few, with all others of like length.
+    Each round compares the newly labelled, which are few, with all others of like length, until there are no new ones.
     """
     frontier = materialize(distinct.where("trusted").select("norm"), "seeds")
     rest = distinct.where(~F.col("trusted")).select("norm")
-    reached = [frontier]
-    for _ in range(ROUNDS):
-        frontier = materialize(near(rest, frontier).join(reached_of(reached), "norm", "left_anti"), "reached")
-        if frontier.isEmpty():
-            break
-        reached.append(frontier)
-    return reached_of(reached)
-
-
-def reached_of(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    reached = frontier
+    while not frontier.isEmpty():
+        frontier = materialize(near(rest, frontier).join(reached, "norm", "left_anti"), "reached")
+        reached = materialize(reached.unionByName(frontier), "reached")
+    return reached
 
 
 def residue_segments(documents: DataFrame) -> DataFrame:

@@ -111,3 +111,17 @@ def test_long_segments(spark):
     tail = " ".join(f"ligand {chr(97 + i)} binds hairpin {chr(98 + i)} in yeast" for i in range(14))
     texts = [page, page.replace("Please enable JavaScript", "Please enabIe Java Script"), "Page not found go back to start " + tail, tail]
     assert {(r["doc_id"], r["reason"]) for r in M.residue_segments(documents(spark, texts)).collect()} == {(0, "phrase"), (1, "near-duplicate"), (2, "phrase")}
+
+
+def test_long_chains(spark):
+    """A chain of 14 steps, whose ends have nothing in common, is followed to its end."""
+    words = ["abcdefghij"[i] * 9 for i in range(7)]
+    chain = []
+    for new in [None, *"klmnopqrstuvwx"]:
+        words = words if new is None else [*words[1:], new * 9]
+        chain.append(" ".join(words))
+    steps = [chain[0]]
+    for a, b in zip(chain, chain[1:]):
+        steps += [a + " " + b.rsplit(" ", 1)[1], b]
+    distinct = spark.createDataFrame([(s, i == 0) for i, s in enumerate(steps)], "norm string, trusted boolean")
+    assert M.spread(distinct).count() == len(steps)
