@@ -12,7 +12,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colophon.operators.components import connected_components
@@ -48,6 +48,9 @@ NO_DECOMPOSITION = {"ø": "o", "ł": "l", "đ": "d", "ı": "i", "ħ": "h", "ŧ":
 #: From this length on, names are compared for typing errors by their two ends.
 LONG = 100
 
+#: Shorter surnames written with initials aren't compared for typing errors.
+LEAST_LETTERS = 5
+
 PARSED = "kind string, given string, middle string, surname string, initials boolean"
 
 
@@ -98,6 +101,22 @@ def _parse_all(names: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([parse(n) for n in names], columns=["kind", "given", "middle", "surname", "initials"])
 
 
+def _one_error_forms(text: str) -> Column:
+    """Forms of which two texts one typing error apart share one."""
+    drops = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))))
+    # in a long text one error leaves the beginning or the end as it is, which takes two forms instead of one a character
+    none = F.array().cast("array<string>")
+    short = F.when(F.length(text) <= LONG + 1, F.concat(F.array(text), drops)).otherwise(none)
+    long = F.when(F.length(text) >= LONG - 1, F.array(F.concat(F.lit("<"), F.left(F.col(text), F.lit(LONG // 2 - 5))), F.concat(F.lit(">"), F.right(F.col(text), F.lit(LONG // 2 - 5))))).otherwise(none)
+    return F.array_distinct(F.concat(short, long))
+
+
+def _one_error(a: str, b: str) -> Column:
+    distance = F.levenshtein(a, b, 2)
+    swapped = (distance == 2) & (F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
+    return (distance == 1) | swapped
+
+
 def _typing_errors(identities: DataFrame) -> DataFrame:
     """Pairs of identities one typing error apart: a character more, less, other or two swapped.
 
@@ -107,19 +126,12 @@ def _typing_errors(identities: DataFrame) -> DataFrame:
     families = identities.where("kind = 'P'").groupBy("surname").agg(F.count_distinct("given").alias("uses"))
     text = F.concat_ws("|", "given", "middle", "surname")
     one = identities.select("key", "kind", "given", "middle", "surname", text.alias("text"))
-    drops = F.transform(F.sequence(F.lit(1), F.length("text")), lambda i: F.concat(F.substring("text", F.lit(1), i - 1), F.substring("text", i + 1, F.length("text"))))
-    # in a long text one error leaves the beginning or the end as it is, which takes two forms instead of one a character
-    none = F.array().cast("array<string>")
-    short = F.when(F.length("text") <= LONG + 1, F.concat(F.array("text"), drops)).otherwise(none)
-    long = F.when(F.length("text") >= LONG - 1, F.array(F.concat(F.lit("<"), F.left("text", F.lit(LONG // 2 - 5))), F.concat(F.lit(">"), F.right("text", F.lit(LONG // 2 - 5))))).otherwise(none)
     # only hashes and keys meet; the pairs, which are few, then get the rest and are verified
-    met = one.select("key", F.explode(F.array_distinct(F.concat(short, long))).alias("form"), "kind", "middle").select("key", F.xxhash64("kind", "middle", "form").alias("h"))
+    met = one.select("key", F.explode(_one_error_forms("text")).alias("form"), "kind", "middle").select("key", F.xxhash64("kind", "middle", "form").alias("h"))
     met = met.select("h", F.col("key").alias("a_key")).join(met.select("h", F.col("key").alias("b_key")), "h").where("a_key < b_key").select("a_key", "b_key").distinct()
     a, b = [one.select(*[F.col(c).alias(f"{x}_{c}") for c in ("key", "kind", "given", "middle", "surname", "text")]) for x in "ab"]
     pairs = met.join(a, "a_key").join(b, "b_key").where("a_kind = b_kind and a_middle = b_middle")
-    distance = F.levenshtein("a_text", "b_text", 2)
-    swapped = (distance == 2) & (F.length("a_text") == F.length("b_text")) & (F.array_sort(F.split("a_text", "")) == F.array_sort(F.split("b_text", "")))
-    pairs = pairs.where((distance == 1) | swapped)
+    pairs = pairs.where(_one_error("a_text", "b_text"))
     for col, uses in (("given", givens), ("surname", families)):
         for x in "ab":
             pairs = pairs.join(uses.select(F.col(col).alias(f"{x}_{col}"), F.col("uses").alias(f"{x}_{col}_uses")), f"{x}_{col}", "left")
@@ -135,6 +147,24 @@ def _without_middle(identities: DataFrame) -> DataFrame:
     return one.select(F.concat_ws("|", F.lit("P"), "given", F.lit(""), "surname").alias("a"), F.concat_ws("|", F.lit("P"), "given", "middle", "surname").alias("b"))
 
 
+def _mistyped_initials(short: DataFrame, forms: DataFrame) -> DataFrame:
+    """``(key, author, stated)`` for spellings with initials whose surname is one typing error from the author's; stated tells
+    whether the middle initials agree or are missing in the spelling. Initials say little, so both surnames are LEAST_LETTERS long
+    at least; a pair is left out if both surnames are established with several given names: then they are two families.
+    """
+    sides = []
+    for side, x in ((short.select("key", "given", "middle", "surname"), "a"), (forms, "b")):
+        side = side.where(F.length("surname") >= LEAST_LETTERS)
+        sides.append(side.select(*[F.col(c).alias(c if c in ("key", "author", "given") else f"{x}_{c}") for c in side.columns], F.explode(_one_error_forms("surname")).alias("form")))
+    met = sides[0].join(sides[1], ["given", "form"]).drop("form").distinct().where(_one_error("a_surname", "b_surname"))
+    met = met.where((F.col("a_middle") == F.col("b_middle")) | (F.col("a_middle") == ""))
+    uses = forms.groupBy("surname").agg(F.count_distinct("author").alias("uses"))
+    for x in "ab":
+        met = met.join(uses.select(F.col("surname").alias(f"{x}_surname"), F.col("uses").alias(f"{x}_uses")), f"{x}_surname", "left")
+    met = met.where(~F.coalesce(F.least("a_uses", "b_uses") > 2, F.lit(False)) | F.col("a_uses").isNull())
+    return met.select("key", "author", (F.col("a_middle") == F.col("b_middle")).alias("stated"))
+
+
 def link_names(entries: DataFrame, strings: DataFrame | None = None) -> DataFrame:
     """``(name, author)`` for each spelling; spellings with one author are linked. author is a key without further meaning.
 
@@ -159,14 +189,16 @@ def link_names(entries: DataFrame, strings: DataFrame | None = None) -> DataFram
     authors = whole.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("author", F.coalesce("component", "key"))
     authors = materialize(authors.select("key", "kind", "given", "middle", "surname", "author"), "authors")
 
-    # a spelling with initials goes to the only author that is stated for it, else to the only one whose rewriting it is
+    # a spelling with initials goes to the only author that is stated for it, else to the only one whose rewriting it is,
+    # else to the only one that is one typing error away from it
     short = identities.where("initials")
     said = stated.where("short").join(authors.select(F.col("key").alias("b"), "author"), "b").select(F.col("a").alias("key"), "author")
     first = F.substring("given", 1, 1)
     forms = authors.where("kind = 'P'").select(first.alias("given"), "middle", "surname", "author").distinct()
     exact = short.join(forms, ["given", "middle", "surname"]).select("key", "author")
     loose = short.where("middle = ''").join(forms.drop("middle").distinct(), ["given", "surname"]).select("key", "author")
-    ranked = said.withColumn("rank", F.lit(0)).unionByName(exact.withColumn("rank", F.lit(1))).unionByName(loose.withColumn("rank", F.lit(2)))
+    mistyped = _mistyped_initials(short, forms)
+    ranked = said.withColumn("rank", F.lit(0)).unionByName(exact.withColumn("rank", F.lit(1))).unionByName(loose.withColumn("rank", F.lit(2))).unionByName(mistyped.select("key", "author", F.when(F.col("stated"), 3).otherwise(4).alias("rank")))
     tied = ranked.groupBy("key", "rank").agg(F.count_distinct("author").alias("shared"), F.min("author").alias("author"))
     best = tied.groupBy("key").agg(F.min(F.struct("rank", "shared", "author")).alias("best")).where("best.shared = 1").select("key", F.col("best.author").alias("author"))
 

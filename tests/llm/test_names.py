@@ -47,3 +47,9 @@ def test_long_names(spark):
     rows = [(long, None), (long[:-9] + "x" + long[-9:], None), (long[:9] + "y" + long[9:], None)] + [("Bea " + "k" * n + "lmnop" * 18, None) for n in (5, 6)]
     got = linked(spark, rows)
     assert len(got) == 4 and all(a[:3] == b[:3] for a, b in got)
+
+
+def test_mistyped_surname_with_initials(spark):
+    """It goes to the only author one typing error away; two such authors, another initial or a short surname say nothing."""
+    names = ["Zora W. Pavjaukek", "Pavajukek, Z. W.", "Jon Latnurinag", "Lathurinag J", "Rui Kolmanin", "Roy Kolmarin", "R. Kolmavin", "Q. Latnurinay", "Tom Lu", "T. Su"]
+    assert linked(spark, [(n, None) for n in names]) == {("Pavajukek, Z. W.", "Zora W. Pavjaukek"), ("Jon Latnurinag", "Lathurinag J")}
