@@ -363,7 +363,7 @@ def findings_top(spark, folder):
   UNION ALL SELECT 'error' FROM records WHERE doi IS NOT NULL AND {SQL_DOI} IN (SELECT {SQL_DOI} FROM removed_dois WHERE doi IS NOT NULL)
   UNION ALL SELECT 'warning' FROM (SELECT count(*) OVER (PARTITION BY regexp_replace({_sql_norm('title')}, '[^\\p{{L}}\\p{{N}}]', '', 'g'), publication_year) AS n FROM records WHERE title IS NOT NULL AND publication_year IS NOT NULL) WHERE n > 1)""")
 def findings_summary(spark, folder):
-    """Errors and warnings of the rules on keys."""
+    """Errors and warnings of the rules on keys only, as far as SQL can follow; collection_summary counts all rules."""
     records, none = _records(spark, folder), F.lit("")
     parts = [
         V.finding(C.duplicate_dois(records), "error", "database.duplicate_doi", none, none),
@@ -373,6 +373,12 @@ def findings_summary(spark, folder):
     return V.summary(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
+@query()
+def collection_summary(spark, folder):
+    """Errors and warnings of all rules over the whole collection, and whether it passed."""
+    return V.summary(V.findings(_records(spark, folder), _rules(spark, folder)))
+
+
 @query("WITH r AS (SELECT DISTINCT CAST(record_id AS BIGINT) AS v FROM match_groups), g AS (SELECT v, v - row_number() OVER (ORDER BY v) AS g FROM r) SELECT CAST(min(v) AS BIGINT) AS lo, CAST(max(v) AS BIGINT) AS hi, CAST(count(*) AS BIGINT) AS n FROM g GROUP BY g")
 def id_ranges(spark, folder):
     return C.id_ranges(table(spark, folder, "match_groups"), "record_id")

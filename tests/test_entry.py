@@ -22,3 +22,15 @@ def test_core_queries_run(spark, name):
 @pytest.mark.skipif(not os.path.exists(FOLDER), reason="no test data")
 def test_flagship(spark):
     assert entry.entry(spark).columns == ["record_id"]
+
+
+@pytest.mark.skipif(not os.path.exists(FOLDER), reason="no test data")
+def test_summary_counts_all_rules(spark):
+    queries = entry.queries()
+    counts = {"error": 0, "warning": 0}
+    for r in queries["findings_by_code"](spark, FOLDER).collect():
+        counts[r["severity"]] = counts.get(r["severity"], 0) + r["n"]
+    got, keys = queries["collection_summary"](spark, FOLDER).first(), queries["findings_summary"](spark, FOLDER).first()
+    print(got, keys)
+    assert (got["errors"], got["warnings"], got["passed"]) == (counts["error"], counts["warning"], counts["error"] == 0)
+    assert got["errors"] + got["warnings"] > keys["errors"] + keys["warnings"]
