@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -18,6 +19,11 @@ VOCABULARY_CODE_SHAPE = r"^[a-z][a-z0-9_]*$"
 MISSING = "__missing__"
 
 
+def _beyond_ascii(text: Column) -> Column:
+    """The text if it has a character beyond ASCII, else null: a UDF sees every row, whatever the condition around it."""
+    return F.when(text.rlike(r"[^\x00-\x7F]"), text)
+
+
 def _fold(texts: pa.Array) -> pa.Array:
     apart = pc.utf8_normalize(texts, form="NFKD")
     return pc.utf8_lower(pc.replace_substring_regex(apart, pattern="[\\x{0300}-\\x{036F}]", replacement=""))
@@ -26,9 +32,9 @@ def _fold(texts: pa.Array) -> pa.Array:
 def fold(text: Column) -> Column:
     """For searching: compatibility decomposed, without the marks U+0300 to U+036F, in lower case. Null stays null.
 
-    The Arrow step is left to texts with a character beyond ASCII.
+    Only texts with a character beyond ASCII are handed to the Arrow step; the others reach it as nulls.
     """
-    return F.when(text.rlike(r"[^\x00-\x7F]"), F.arrow_udf(_fold, "string")(text)).otherwise(F.lower(text))
+    return F.coalesce(F.arrow_udf(_fold, "string")(_beyond_ascii(text)), F.lower(text))
 
 
 def _compatible_casefold(texts: pa.Array) -> pa.Array:
@@ -37,7 +43,25 @@ def _compatible_casefold(texts: pa.Array) -> pa.Array:
 
 
 def _casefolded(text: Column) -> Column:
-    return F.when(text.rlike(r"[^\x00-\x7F]"), F.arrow_udf(_compatible_casefold, "string")(text)).otherwise(F.lower(text))
+    return F.coalesce(F.arrow_udf(_compatible_casefold, "string")(_beyond_ascii(text)), F.lower(text))
+
+
+def _casefold_lists(lists: pa.Array) -> pa.Array:
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    folded = pa.ListArray.from_arrays(pa.array(offsets), _compatible_casefold(lists.flatten()))
+    return pc.if_else(lists.is_valid(), folded, pa.scalar(None, folded.type))
+
+
+def _squeezed(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, r"(?U)[\s\x1C-\x1F]+", " "))
+
+
+def norm_texts(texts: Column) -> Column:
+    """norm_text of each member of an array; only arrays with a character beyond ASCII are handed to the Arrow step."""
+    odd = F.exists(texts, lambda t: F.coalesce(t.rlike(r"[^\x00-\x7F]"), F.lit(False)))
+    folded = F.coalesce(F.arrow_udf(_casefold_lists, "array<string>")(F.when(odd, texts)), F.transform(texts, F.lower))
+    return F.transform(folded, _squeezed)
 
 
 def strip(text: Column) -> Column:
@@ -47,7 +71,7 @@ def strip(text: Column) -> Column:
 
 def norm_text(text: Column) -> Column:
     """NFKC, case folded, runs of white space as one space, none at the ends."""
-    return F.trim(F.regexp_replace(_casefolded(text), r"(?U)[\s\x1C-\x1F]+", " "))
+    return _squeezed(_casefolded(text))
 
 
 def norm_title(text: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from colophon.functions import text as T
 from colophon.operators.search import edges
 from colophon.operators.skew import lookup_join
+from colophon.session import materialize
 
 # Fields whose codes come from a vocabulary, and fields that hold one line.
 CODED = {"document_type": "document_type", "publication_stage": "publication_stage", "language_status": "language_status", "record_status": "record_status"}
@@ -99,13 +100,20 @@ def removed_list_problems(removed: DataFrame) -> DataFrame:
 def shared_key(records: DataFrame, key: Column | list[Column], id_col: str = "record_id") -> DataFrame:
     """``(id, key…, members)``: the rows whose key others have too, with how many have it; rows with a null in the key are left out.
 
-    Groups are counted first; the rows then find their group by a join that spreads the rows of a hot key.
+    Keys are made once and written; groups are counted from them, and the rows then find their group by a join that spreads
+    the rows of a hot key.
     """
     keys = key if isinstance(key, list) else [key]
     names = [f"key{i}" for i in range(len(keys))]
     keyed = records.select(F.col(id_col), *[k.alias(n) for k, n in zip(keys, names)]).where(" and ".join(f"{n} is not null" for n in names))
+    keyed = materialize(keyed, "keyed")
     groups = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("members"), F.min(id_col).alias("first_id")).where("members > 1")
-    return lookup_join(keyed, groups, names, "members")
+    return lookup_join(keyed, materialize(groups, "groups"), names, "members")
+
+
+def duplicate_ids(records: DataFrame) -> DataFrame:
+    """Ids that several records have, with how many; null ids are another check's business."""
+    return records.where("record_id is not null").groupBy("record_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def duplicate_dois(records: DataFrame) -> DataFrame:
@@ -131,8 +139,8 @@ def redundant_canonical(records: DataFrame) -> DataFrame:
     return one.where("a.canonical_name = a.name").select("record_id", "position")
 
 
-def line_values(records: DataFrame) -> DataFrame:
-    """``(record_id, path, value)`` of all fields that hold one line."""
+def line_pairs() -> Column:
+    """Array of ``struct(path, value)`` of all fields that hold one line."""
     def pair(path: str, value: Column) -> Column:
         return F.struct(F.lit(path).alias("path"), value.alias("value"))
     fixed = [pair(f"$.{c}", F.col(c)) for c in LINES] + [pair(f"$.file_status.{c}", F.col(f"file_status.{c}")) for c in FILES]
@@ -140,7 +148,12 @@ def line_values(records: DataFrame) -> DataFrame:
     def listed(column: str, member: str) -> Column:
         return F.coalesce(F.transform(column, lambda x, i: F.struct(F.concat(F.lit(f"$.{column}["), i.cast("string"), F.lit(f"].{member}")).alias("path"), x[member].alias("value"))), none)
     lists = [listed("authors", "name"), listed("authors", "canonical_name"), listed("related", "record_id"), listed("related", "relationship_type")]
-    return records.select("record_id", F.inline(F.concat(F.array(*fixed), *lists))).where("value is not null")
+    return F.concat(F.array(*fixed), *lists)
+
+
+def line_values(records: DataFrame) -> DataFrame:
+    """``(record_id, path, value)`` of all fields that hold one line."""
+    return records.select("record_id", F.inline(line_pairs())).where("value is not null")
 
 
 def line_problems(records: DataFrame) -> DataFrame:
@@ -176,9 +189,29 @@ def compressed_ids(ranges: DataFrame, width: int = 5) -> str:
     return ", ".join(shown) or "None"
 
 
+def numbered(rows: DataFrame, order_col: str, partition: str | None = None) -> DataFrame:
+    """Rows with ``number``, counted from 0 in the order of ``order_col`` within ``partition``.
+
+    Rows are cut into ranges of (partition, order), ranges are counted, and each row is numbered within its range from where the
+    range begins, so that a partition with a third of all rows, or the whole table, is never ordered by one task. The offsets
+    have a row for each partition and range. Rows of equal order are numbered in any order; nulls of ``partition`` are one partition.
+    """
+    keys = [partition] if partition else []
+    ranged = rows.repartitionByRange(*keys, order_col).withColumn("_range", F.spark_partition_id())
+    ranged = materialize(ranged, "ranged")
+    counts = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_range").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    same = F.col("_range") == F.col("_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(order_col))
+    placed = ranged.join(offsets, same).withColumn("number", (F.col("_offset") + inside - 1).cast("long"))
+    return placed.select(*rows.columns, "number")
+
+
 def grid(rows: DataFrame, order_col: str, per_sheet: int, columns: int, partition: str | None = None) -> DataFrame:
     """Places rows on sheets: ``(…, number, sheet, grid_row, grid_column)``, counted in the order of ``order_col`` within ``partition``."""
-    w = Window.partitionBy(*([partition] if partition else [])).orderBy(order_col)
-    n = rows.withColumn("number", (F.row_number().over(w) - 1).cast("long"))
+    n = numbered(rows, order_col, partition)
     on_sheet = F.col("number") % per_sheet
     return n.withColumn("sheet", F.floor(F.col("number") / per_sheet) + 1).withColumn("grid_row", F.floor(on_sheet / columns)).withColumn("grid_column", on_sheet % columns)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +55,7 @@ def load_schema(data: bytes) -> dict:
         if depth > MAX_DEPTH:
             raise SchemaError("nesting_depth", "nested too deeply")
         level = [v for x in level for v in (x.values() if isinstance(x, dict) else x) if isinstance(v, (dict, list))]
-    resolve(schema, schema, ())
+    compiled(schema)
     return schema
 
 
@@ -75,12 +78,105 @@ def resolve(node: object, root: dict, trail: tuple[str, ...]) -> object:
                 raise SchemaError("reference", f"{ref} leads nowhere")
             target = target[part]
         return resolve(target, root, (*trail, ref))
-    kind = node.get("type")
-    if kind is not None and kind not in ("string", "integer", "number", "boolean", "array", "object"):
-        raise SchemaError("invalid", f"unknown type {kind!r}")
     return {k: resolve(v, root, trail) for k, v in node.items() if k != "$defs"}
 
 
+def _is_count(x: object) -> bool:
+    return isinstance(x, int) and not isinstance(x, bool) and x >= 0
+
+
+def _is_number(x: object) -> bool:
+    return isinstance(x, (int, float)) and not isinstance(x, bool)
+
+
+def _is_pattern(x: object) -> bool:
+    try:
+        return isinstance(x, str) and re.compile(x) is not None
+    except re.error:
+        return False
+
+
+#: What each keyword may say; a schema that says something else is no schema.
+SHAPES: dict[str, Callable[[object], bool]] = {
+    "type": lambda x: x in TYPES,
+    "required": lambda x: isinstance(x, list) and all(isinstance(k, str) for k in x) and len(set(x)) == len(x),
+    "properties": lambda x: isinstance(x, dict) and all(isinstance(v, dict) for v in x.values()),
+    "additionalProperties": lambda x: isinstance(x, bool),
+    "minLength": _is_count,
+    "minItems": _is_count,
+    "minimum": _is_number,
+    "maximum": _is_number,
+    "pattern": _is_pattern,
+    "uniqueItems": lambda x: isinstance(x, bool),
+    "items": lambda x: isinstance(x, dict),
+    "enum": lambda x: isinstance(x, list) and bool(x),
+}
+#: Types, each with the test of a plain value.
+TYPES: dict[str, Callable[[object], bool]] = {
+    "string": lambda v: isinstance(v, str),
+    "integer": lambda v: _is_number(v) and v == v and abs(v) != float("inf") and v == int(v),
+    "number": _is_number,
+    "boolean": lambda v: isinstance(v, bool),
+    "array": lambda v: isinstance(v, list),
+    "object": lambda v: isinstance(v, dict),
+    "null": lambda v: v is None,
+}
+
+
+def compiled(schema: dict) -> dict:
+    """The schema with references put in, after each keyword was looked at."""
+    full = resolve(schema, schema, ())
+    for node in _nodes(full):
+        unknown = set(node) - KEYWORDS - IGNORED
+        if unknown:
+            raise SchemaError("invalid", f"keywords that aren't supported: {sorted(unknown)}")
+        for keyword in KEYWORDS & set(node):
+            if not (isinstance(node[keyword], str) and node[keyword] in TYPES if keyword == "type" else SHAPES[keyword](node[keyword])):
+                raise SchemaError("invalid", f"{keyword} may not be {node[keyword]!r}")
+    return full
+
+
+def _told_apart(value: object) -> str:
+    return json.dumps(value, sort_keys=True, default=str)
+
+
+#: Keywords about one plain value, each with the test that tells a violation; ``type`` comes first and ends the matter.
+CHECKS: dict[str, Callable[[object, object], bool]] = {
+    "minLength": lambda v, n: isinstance(v, str) and len(v) < n,
+    "pattern": lambda v, p: isinstance(v, str) and re.search(p, v) is None,
+    "minimum": lambda v, n: _is_number(v) and v < n,
+    "maximum": lambda v, n: _is_number(v) and v > n,
+    "minItems": lambda v, n: isinstance(v, list) and len(v) < n,
+    "uniqueItems": lambda v, on: on and isinstance(v, list) and len({_told_apart(x) for x in v}) < len(v),
+    "enum": lambda v, known: _told_apart(v) not in {_told_apart(k) for k in known},
+}
+
+
+def violations_of(schema: dict, value: object, path: str = "$") -> Iterator[tuple[str, str]]:
+    """``(code, path)`` of what breaks a compiled schema in a plain value, as a parser meets it: types are looked at as well.
+
+    A missing property is reported at its own path, properties beyond the schema once at the object.
+    """
+    if "type" in schema and not TYPES[schema["type"]](value):
+        yield "schema.type", path
+        return
+    for keyword in CHECKS:
+        if keyword in schema and CHECKS[keyword](value, schema[keyword]):
+            yield f"schema.{keyword}", path
+    if isinstance(value, dict):
+        parts = schema.get("properties", {})
+        for name in schema.get("required", []):
+            if name not in value:
+                yield "schema.required", f"{path}.{name}"
+        if schema.get("additionalProperties") is False and not value.keys() <= parts.keys():
+            yield "schema.additionalProperties", path
+        for name in value.keys() & parts.keys():
+            yield from violations_of(parts[name], value[name], f"{path}.{name}")
+    if isinstance(value, list) and "items" in schema:
+        for i, one in enumerate(value):
+            yield from violations_of(schema["items"], one, f"{path}[{i}]")
+
+
 def violations(schema: dict, value: Column, kind: T.DataType, path: Column, required: bool = False) -> Iterator[Column]:
     """Array columns of ``struct(code, path)`` for one node; a value that is missing breaks nothing but ``required``."""
 
@@ -112,9 +208,12 @@ def violations(schema: dict, value: Column, kind: T.DataType, path: Column, requ
         needed = set(schema.get("required", []))
         parts = schema.get("properties", {})
         if schema.get("additionalProperties") is False:
+            extra: list[Column] = []
             for f in kind.fields:
                 if f.name not in parts:
-                    yield when("additionalProperties", there & value[f.name].isNotNull())
+                    extra.append(value[f.name].isNotNull())
+            if extra:
+                yield when("additionalProperties", there & reduce(or_, extra))
         for name, part in parts.items():
             if name in kind.names:
                 for found in violations(part, value[name], kind[name].dataType, F.concat(path, F.lit(f".{name}")), name in needed):
@@ -136,21 +235,24 @@ def violations(schema: dict, value: Column, kind: T.DataType, path: Column, requ
             yield F.flatten(F.transform(value, each))
 
 
+def violations_column(records: DataFrame, schema: dict, leave_out: set[str]) -> Column:
+    """All violations of a row as one array of ``struct(code, path)``; columns in ``leave_out`` don't belong to the record."""
+    full = compiled(schema)
+    kind = T.StructType([f for f in records.schema.fields if f.name not in leave_out])
+    none = F.array().cast("array<struct<code:string,path:string>>")
+    found = [F.coalesce(c, none) for c in violations(full, F.struct(*kind.names), kind, F.lit("$"))]
+    return F.concat(*found) if found else none
+
+
 def check(records: DataFrame, schema: dict, id_col: str) -> DataFrame:
     """``(id, code, path)`` of all violations, in one pass: every rule is an expression of the same projection.
 
-    Columns the schema doesn't name count as additional, but for the id.
+    Columns the schema doesn't name count as additional, but for the id. Records that were read from files bring what
+    their parser saw (column broken), since a typed column can't hold a value of another type.
     """
-    full = resolve(schema, schema, ())
-    unknown = {k for node in _nodes(full) for k in node} - KEYWORDS - IGNORED
-    if unknown:
-        raise SchemaError("invalid", f"keywords that aren't supported: {sorted(unknown)}")
-    columns = [c for c in records.columns if c != id_col]
-    whole = F.struct(*columns)
-    kind = T.StructType([f for f in records.schema.fields if f.name != id_col])
-    none = F.array().cast("array<struct<code:string,path:string>>")
-    found = [F.coalesce(c, none) for c in violations(full, whole, kind, F.lit("$"))]
-    return records.select(F.col(id_col), F.inline(F.concat(*found)))
+    if "broken" in records.columns:
+        return records.select(F.col(id_col), F.inline("broken"))
+    return records.select(F.col(id_col), F.inline(violations_column(records, schema, {id_col})))
 
 
 def _nodes(schema: dict) -> Iterator[dict]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from colophon.sources.yaml_records import PARSED, _parse
+from colophon.sources.yaml_records import PARSED, file_parser
 
 
 def read_changes(spark: SparkSession, folder: str, schema: StructType, files_per_trigger: int = 16) -> DataFrame:
@@ -30,4 +30,4 @@ def read_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Parsed record files of a folder as they appear."""
     schema = "path string, modificationTime timestamp, length long, content binary"
     files = spark.readStream.schema(schema).format("binaryFile").option("pathGlobFilter", "*.yaml").load(folder)
-    return files.select("path", "content").mapInPandas(_parse, PARSED)
+    return files.select("path", "content").mapInPandas(file_parser(), PARSED)
