@@ -1,32 +1,36 @@
 """Template residue, filler, error and access pages, and notices asking for scripts, in or beside real text.
 
-Texts are cut into segments. Segments that show a sure sign (a placeholder in template syntax, a stock phrase) carry a
-trusted label. Labels spread to near-duplicates: length, letters and letter pairs bound the edit distance from below, what
-the bounds leave is verified by the edit distance itself, so that no pair within the similarity is lost, and the spreading
-goes on from the newly labelled until the connected component of each trusted segment is exhausted.
+Texts are cut into segments. A few segments carry a trusted label: template syntax that was never filled in, messages that
+servers, browsers and interpreters give everywhere, and filler text. From them labels spread along two kinds of links, until
+the connected components that hold a trusted segment are exhausted:
+
+* near-duplicates: partitioned SimHash tables give the pairs within HAMMING bits, all of them, and the edit similarity of the
+  texts confirms or refuses each pair;
+* companions: a segment that unrelated documents repeat, and that stands beside labelled segments in a good part of them, belongs
+  to the same pages. That is how the wordings of a site are learned that no list knows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colophon.operators.skew import SMALL_BYTES
 from colophon.session import materialize
 
 SIMILARITY = 0.8
-#: Letters of labelled segments that one pass compares with all others; more take further passes.
-BLOCK = 500_000
-#: Classes of characters and of pairs of them that are counted: a-z, 0 and space have their own, others share.
-OWN, CLASSES, PAIRS = 28, 64, 1024
+#: The sketch is cut into BLOCKS parts; each is a table, which is asked for its own value and all values within FLIPS bits.
+BLOCKS, BITS, FLIPS = 4, 16, 2
+#: Of so many differing bits, one block at least has no more than FLIPS: the tables find all pairs within this distance.
+HAMMING = BLOCKS * (FLIPS + 1) - 1
 #: Shorter segments say too little for a near-duplicate; they count if they carry a label themselves.
 LEAST_WORDS = 4
 #: A segment of more words than LONG hands on its label only to those whose first OPENING words are alike too: the rest may be real text.
 LONG, OPENING = 40, 10
+#: A companion is repeated in so many unrelated documents at least, and stands beside labels in so many and in such a share of them.
+REPEATED, BESIDE, SHARE = 3, 2, 0.2
 #: A word is filler if so many of the known filler segments have it; a segment is filler if most of its words are.
 FILLER_SHARE = 0.05
 MOSTLY = 0.8
@@ -57,114 +61,41 @@ PLACEHOLDERS = [
     r"\b[A-Za-z][A-Za-z_]*(?: [A-Za-z]+)?: (?:undefined|null|NaN|\[object Object\])",
     r"\[object Object\]",
 ]
-# How stock phrases begin; filler first, then notices about scripts and access, then error pages.
-PHRASES = [
-    r"lorem ipsum",
-    r"dummy (?:paragraph|text)\b",
-    r"text text text\b",
-    r"(?:test )+\d+ test\b",
-    r"test test\b",
-    r"asdf(?: asdf| jkl)+\b",
-    r"x{3,}(?: x{2,}){2,}",
-    r"body copy goes in this area",
-    r"the final wording will follow",
-    r"delete this line before",
-    r"this is (?:a )?(?:sample|dummy|placeholder|filler) text",
-    r"placeholder [a-z ]{2,24}[.:]?$",
-    r"texto de ejemplo",
-    r"texto de exemplo",
-    r"mustertext\b",
-    r"blindtext\b",
-    r"platzhalter\b",
-    r"texte provisoire",
-    r"faux[- ]texte",
-    r"(?:please )?(?:enable|activate|allow|turn on|switch on) (?:javascript|js|scripts?|cookies)\b",
-    r"you (?:need|have) to (?:enable|activate|allow) (?:javascript|js|scripts?|cookies)\b",
-    r"(?:it looks as if |it seems that |we detected that )?(?:cookies and )?(?:javascript|js|scripts?|script support|scripting|cookies)(?: support)? (?:is|are|seems? to be) (?:switched off|turned off|disabled|blocked|required|off)\b",
-    r"(?:this|the) (?:site|page|app|reader) (?:needs|requires) (?:javascript|js|scripts?|cookies)\b",
-    r"without (?:javascript|js|active scripting|scripts?)\b[^.]{0,60}\b(?:blank|empty|shown?|work|start)\b",
-    r"if nothing shows up, allow scripts\b",
-    r"your browser (?:does not|doesn't) support\b",
-    r"your browser is (?:out of date|too old|outdated)\b",
-    r"noscript:",
-    r"loading (?:viewer|reader|page)\b",
-    r"turn it on to see\b",
-    r"cookies must be\b",
-    r"bitte aktivieren sie\b",
-    r"veuillez activer\b",
-    r"(?:por favor,? )?(?:active|habilite|ative) (?:el |o )?javascript\b",
-    r"tick the box to show\b",
-    r"checking your browser\b",
-    r"(?:please )?(?:sign|log) in (?:first|again|to)\b",
-    r"(?:http status|error|status:?) ?[1-5]\d\d\b",
-    r"[45]\d\d (?:not found|forbidden|bad gateway|bad request|gateway time-?out|service unavailable|gone|unauthori[sz]ed|internal server error|too many requests)\b",
-    r"(?:page|file|record|article|document) (?:not found|unavailable)\b",
-    r"page introuvable",
-    r"seite nicht gefunden",
-    r"p[áa]gina n[ãa]o encontrada",
-    r"p[áa]gina no encontrada",
-    r"access (?:denied|refused)\b",
-    r"acc[èe]s refus[ée]",
-    r"zugriff verweigert",
-    r"acceso denegado",
-    r"acesso negado",
-    r"internal server error",
-    r"erreur interne du serveur",
-    r"interner serverfehler",
-    r"(?:your )?session (?:has )?expired",
-    r"sitzung abgelaufen",
-    r"session expir[ée]e",
-    r"sesi[óo]n (?:caducada|expirada)",
-    r"sess[ãa]o expirada",
-    r"(?:down for |under )maintenance\b",
-    r"application error\b",
-    r"dns lookup failed",
-    r"too many requests\b",
-    r"service unavailable\b",
-    r"this page timed out",
-    r"the item is locked",
-    r"this document cannot be shown",
-    r"we'll be right back",
-    r"oops!",
-    r"err_[a-z0-9]{4,}\b",
-    r"sqlstate\[",
-    r"traceback \(most recent call last\)",
-    r"java\.lang\.\w+",
-    r"upstream said:",
-    r"your ip address has been blocked",
-    r"the (?:article|page|document|record) you (?:asked for|requested) (?:could not be found|does not exist|was not found)",
-    r"die angeforderte seite\b",
-    r"go back to the start page",
-    r"return to the home page",
-    r"use the back button",
-    r"check the address and reload",
-    r"ask your library for access",
-    r"contact the help desk",
-    r"refresh this window",
-    r"try again (?:later|in)\b",
-    r"wait \d+ seconds and retry",
-    r"the link may be (?:old|broken|mistyped)",
-    r"the server behind the\b",
-    r"you do not have the right to view",
-    r"we are moving shelves tonight",
-    r"n[ãa]o foi poss[íi]vel abrir",
-    r"bitte wenden sie sich an (?:die|ihre) bibliothek",
-    r"vuelva a intentarlo",
-    r"veuillez r[ée]essayer",
-    r"nginx-like proxy",
+# How messages begin that servers, browsers, interpreters and templates give everywhere, in the normal form below.
+SEEDS = [
+    r"lorem ipsum\b",
+    r"(?:this is )?(?:an? |some )?(?:dummy|sample|placeholder|filler) (?:text|paragraph|copy)\b",
+    r"(?:please |you (?:need|have) to |bitte |veuillez |por favor )?(?:enable|activate|allow|turn on|switch on|aktivieren sie|activer|activez|active|ative|habilite|habilitar) (?:el |o |le |la )?(?:javascript|js|scripts?|cookies)\b",
+    r"(?:it (?:looks|seems) (?:as if |like |that )?|we detected that )?(?:javascript|js|scripting|cookies)(?: support)? (?:is|are|must be|has been|have been) (?:disabled|switched off|turned off|blocked|required|enabled|allowed)\b",
+    r"without (?:javascript|js|scripts|(?:active )?scripting)\b",
+    r"(?:http )?(?:error|status)(?: code)? 000\b",
+    r"000 (?:not found|forbidden|bad gateway|bad request|gone|unauthori[sz]ed|service unavailable|gateway time ?out|internal server error|too many requests)\b",
+    r"(?:internal server error|(?:page|file|document) not found|access denied|service unavailable|too many requests|session expired|application error)\b",
+    r"(?:erreur interne du serveur|page introuvable|accès refusé|interner serverfehler|seite nicht gefunden|zugriff verweigert|página no encontrada|acceso denegado|página não encontrada|acesso negado)\b",
+    r"traceback most recent call last\b",
+    r"java lang \w+(?:exception|error)\b",
+    r"sqlstate\b",
+    r"err [a-z0-9]{4,}$",
 ]
 
 SENTENCE = r"(?<=[.!?])[\"”’)]*\s+|\s*\n\s*|\s+[|]\s+|\s+-\s+(?=[A-Z0-9<])|</?(?:html|body|h\d|p|div|title|head)[^<>]*>"
 ANY_PLACEHOLDER = "(?:" + "|".join(p.replace("FIELD", FIELD) for p in PLACEHOLDERS) + ")"
 #: A placeholder that a running sentence speaks about: plain words in lower case on both sides.
 SPOKEN_OF = r"\p{Ll}[\p{L}'-]*,?\s" + ANY_PLACEHOLDER + r",?\s\p{Ll}"
-ANY_PHRASE = r"(?iu)^\W*+(?:" + "|".join(PHRASES) + ")"
+ANY_SEED = "^(?:" + "|".join(SEEDS) + ")"
 
 
 def segments(documents: DataFrame) -> DataFrame:
-    """``(doc_id, segment)`` of all texts: sentences, lines and cells that hold something. Null and empty texts have none."""
-    cut = F.filter(F.split("text", SENTENCE), lambda s: F.trim(s) != "")
-    return documents.select("doc_id", F.explode(cut).alias("segment"))
+    """``(doc_id, unit, segment, norm, key, before, after)`` of all texts: sentences, lines and cells that hold something.
+
+    ``unit`` is the same for documents of equal text, ``key`` stands for the norm, ``before`` and ``after`` for those of the
+    neighbours. Null and empty texts have no segments.
+    """
+    cut = documents.select("doc_id", F.filter(F.split("text", SENTENCE), lambda s: F.trim(s) != "").alias("cut")).where(F.size("cut") > 0)
+    cut = cut.select("doc_id", "cut", F.transform("cut", normal).alias("norms"))
+    keyed = cut.select("doc_id", "cut", "norms", F.transform("norms", lambda n: F.xxhash64(n)).alias("keys"), F.xxhash64("cut").alias("unit"))
+    placed = F.transform("cut", lambda s, i: F.struct(s.alias("segment"), F.get("norms", i).alias("norm"), F.get("keys", i).alias("key"), F.get("keys", i - 1).alias("before"), F.get("keys", i + 1).alias("after")))
+    return keyed.select("doc_id", "unit", F.inline(placed))
 
 
 def normal(segment: Column) -> Column:
@@ -192,8 +123,12 @@ def mostly_template(segment: Column, norm: Column) -> Column:
     return F.length(normal(F.regexp_replace(segment, ANY_PLACEHOLDER, " "))) * 2 <= F.length(norm)
 
 
-def has_phrase(segment: Column) -> Column:
-    return segment.rlike(ANY_PHRASE)
+def has_seed(norm: Column) -> Column:
+    return norm.rlike(ANY_SEED)
+
+
+def word_count(norm: Column) -> Column:
+    return F.length(norm) - F.length(F.replace(norm, F.lit(" "), F.lit(""))) + 1
 
 
 def filler_words(marked: DataFrame) -> list[str]:
@@ -201,7 +136,7 @@ def filler_words(marked: DataFrame) -> list[str]:
 
     There are at most 1/FILLER_SHARE times as many as such a segment has words on average.
     """
-    known = marked.where(F.col("segment").rlike(r"(?iu)^\W*lorem ipsum\b")).select(F.array_distinct(F.split("norm", " ")).alias("words"))
+    known = marked.where(F.col("norm").startswith("lorem ipsum")).select(F.array_distinct(F.split("norm", " ")).alias("words"))
     total = known.count()
     counted = known.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FILLER_SHARE * total)
     return [r["w"] for r in counted.collect()]
@@ -240,78 +175,14 @@ def simhash_array(texts: pa.Array) -> pa.Array:
     return pa.array(out, pa.int64())
 
 
-def _class_of(codes: np.ndarray) -> np.ndarray:
-    out = OWN + codes % (CLASSES - OWN)
-    out = np.where((codes >= 97) & (codes <= 122), codes - 97, out)
-    return np.where(codes == 48, 26, np.where(codes == 32, 27, out)).astype(np.int64)
-
-
-def profiles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Length of each text, how often each class of characters occurs in it, and each class of pairs of neighbours."""
-    n, lengths = len(texts), np.array([len(t) for t in texts], np.int64)
-    letter = _class_of(np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64))
-    row = np.repeat(np.arange(n), lengths)
-    one, two = letter[:-1], letter[1:]
-    pair = np.where((one < OWN) & (two < OWN), one * OWN + two, OWN * OWN + (one * CLASSES + two) % (PAIRS - OWN * OWN))
-    inside = row[:-1] == row[1:]
-    letters = np.bincount(row * CLASSES + letter, minlength=n * CLASSES).reshape(n, CLASSES)
-    pairs = np.bincount(row[:-1][inside] * PAIRS + pair[inside], minlength=n * PAIRS).reshape(n, PAIRS)
-    return lengths, np.minimum(letters, 32767).astype(np.int16), np.minimum(pairs, 32767).astype(np.int16)
-
-
-def allowed(longest):
-    """Edits that two texts may be apart, the longer of which has so many characters; for numbers, arrays and columns."""
-    edits = longest * (1 - SIMILARITY) + 1e-6
-    return F.floor(edits).cast("int") if isinstance(edits, Column) else np.floor(edits)
-
-
-class Seeds:
-    """Labelled segments with their profiles, to be compared with all others."""
-
-    def __init__(self, norms: list[str]):
-        self.norms = norms
-        self.lengths, self.letters, self.pairs = profiles(norms)
-
-
-def _apart(counts: np.ndarray, seed: np.ndarray) -> np.ndarray:
-    """What one of two texts has more of than the other, on the side where it is most."""
-    difference = counts - seed
-    more = np.maximum(difference, 0).sum(1, dtype=np.int64)
-    return np.maximum(more, more - difference.sum(1, dtype=np.int64))
-
-
-def candidates(texts: list[str], seeds: Seeds) -> list[list[str]]:
-    """For each text the seeds that may be within the similarity; none that is gets lost.
-
-    An edit makes or removes one character and two pairs of neighbours at most, so k edits leave no more than k characters
-    and 2k pairs without a counterpart; counting in classes, and up to a bound, only brings texts nearer together.
-    """
-    out: list[list[str]] = [[] for _ in texts]
-    order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
-    at = 0
-    while at < len(order):  # chunks of texts of like length keep the tables small
-        end, size = at, 0
-        while end < len(order) and end - at < 2048 and (end == at or size + len(texts[order[end]]) <= 1_000_000):
-            size += len(texts[order[end]])
-            end += 1
-        chunk = order[at:end]
-        lengths, letters, pairs = profiles([texts[i] for i in chunk])
-        for k in np.flatnonzero((seeds.lengths * SIMILARITY <= lengths[-1] + 1e-6) & (lengths[0] * SIMILARITY <= seeds.lengths + 1e-6)):
-            own = seeds.lengths[k]
-            low, high = np.searchsorted(lengths, own * SIMILARITY - 1e-6), np.searchsorted(lengths, own / SIMILARITY + 1e-6, "right")
-            edits = allowed(np.maximum(lengths[low:high], own))
-            rest = np.flatnonzero(_apart(letters[low:high], seeds.letters[k]) <= edits)
-            if len(rest):
-                rest = rest[_apart(pairs[low:high][rest], seeds.pairs[k]) <= 2 * edits[rest]]
-            for i in rest + low:
-                out[chunk[i]].append(seeds.norms[k])
-        at = end
-    return out
+def sketch(norm: Column) -> Column:
+    return F.arrow_udf(simhash_array, "bigint")(norm)
 
 
 def is_near(norm: Column, other: Column) -> Column:
     """Whether the edit similarity of two segments is SIMILARITY at least."""
-    return F.call_function("levenshtein", norm, other, allowed(F.greatest(F.length(norm), F.length(other)))) >= 0
+    edits = F.floor(F.greatest(F.length(norm), F.length(other)) * (1 - SIMILARITY) + 1e-6).cast("int")
+    return F.call_function("levenshtein", norm, other, edits) >= 0
 
 
 def hands_on(seed: Column, norm: Column) -> Column:
@@ -320,71 +191,98 @@ def hands_on(seed: Column, norm: Column) -> Column:
     return is_near(seed, norm) & ((F.size(F.split(seed, " ")) <= LONG) | opening)
 
 
-def _blocks(frontier: DataFrame) -> Iterator[list[str]]:
-    block: list[str] = []
-    size = 0
-    for r in frontier.select("norm").toLocalIterator():
-        block.append(r["norm"])
-        size += len(r["norm"])
-        if size >= BLOCK:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def _flips() -> list[int]:
+    """All numbers of BITS bits of which FLIPS at most are set."""
+    out = {0}
+    for _ in range(FLIPS):
+        out |= {x | 1 << b for x in out for b in range(BITS)}
+    return sorted(out)
+
 
+def _tables(of: Column) -> list[Column]:
+    """The blocks of a sketch, each marked with its number, so that one column holds the rows of all tables."""
+    return [F.shiftrightunsigned(of, BITS * i).bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.lit(i << BITS)).cast("int") for i in range(BLOCKS)]
+
+
+def _sized(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A table to be broadcast if it is small, and to be shuffled with the other side if it isn't."""
+    return F.broadcast(df) if df.count() * row_bytes <= SMALL_BYTES else df
+
+
+def near(sketched: DataFrame, frontier: DataFrame) -> DataFrame:
+    """``key`` of the sketched segments that near-duplicates in the frontier hand their label to; both have key, norm and sketch.
+
+    A segment has one row a table, a frontier row one for each value within FLIPS bits of its block: the large side stays
+    small, and no pair within HAMMING bits is lost.
+    """
+    seeds = frontier.select(F.col("key").alias("seed"), F.col("sketch").alias("seed_sketch"), F.col("norm").alias("seed_norm"))
+    flips = F.array(*[F.lit(x) for x in _flips()])
+    asked = seeds.select("seed", "seed_sketch", F.explode(F.array(*_tables(F.col("seed_sketch")))).alias("b")).select("seed", "seed_sketch", F.explode(F.transform(flips, lambda x: F.col("b").bitwiseXOR(x))).alias("block"))
+    asked = F.broadcast(asked) if frontier.count() * len(_flips()) * BLOCKS * 48 <= 2 * SMALL_BYTES else asked
+    held = sketched.select("key", "norm", "sketch", F.explode(F.array(*_tables(F.col("sketch")))).alias("block"))
+    close = held.join(asked, "block").where((F.bit_count(F.col("sketch").bitwiseXOR(F.col("seed_sketch"))) <= HAMMING) & (F.col("key") != F.col("seed")))
+    pairs = close.select("key", "norm", "seed").distinct().join(seeds.select("seed", "seed_norm"), "seed")
+    return pairs.where(hands_on(F.col("seed_norm"), F.col("norm"))).select("key").distinct()
 
-def _asker(shared: Broadcast):
-    def ask(texts: pa.Array) -> pa.Array:
-        return pa.array(candidates(texts.to_pylist(), shared.value), pa.list_(pa.string()))
 
-    return ask
+def beside(marked: DataFrame, fresh: DataFrame) -> DataFrame:
+    """``(key, unit)`` of the segments that stand beside one of the freshly labelled ones."""
+    neighbours = marked.select("key", "unit", F.explode(F.array_compact(F.array("before", "after"))).alias("neighbour")).where("neighbour <> key")
+    return neighbours.join(_sized(fresh.select(F.col("key").alias("neighbour")).distinct(), 16), "neighbour", "left_semi").select("key", "unit").distinct()
 
 
-def near(rest: DataFrame, frontier: DataFrame) -> DataFrame:
-    """``norm`` of the rest that are near-duplicates of one in the frontier, which is broadcast in blocks of about BLOCK letters."""
-    result = None
-    for block in _blocks(frontier):
-        ask = _asker(rest.sparkSession.sparkContext.broadcast(Seeds(block)))
-        asked = rest.select("norm", F.arrow_udf(ask, "array<string>")("norm").alias("seeds"))
-        found = asked.where(F.exists("seeds", lambda s: hands_on(s, F.col("norm")))).select("norm")
-        result = found if result is None else result.unionByName(found)
-    return rest.select("norm").limit(0) if result is None else result.distinct()
+def companions(touched: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``key`` of the repeated segments that stand beside labels often enough; ``repeated`` has the number of unrelated documents."""
+    counted = touched.groupBy("key").agg(F.count_distinct("unit").alias("beside")).where(F.col("beside") >= BESIDE)
+    return repeated.join(counted, "key").where(F.col("beside") >= F.col("units") * SHARE).select("key")
 
 
-def spread(distinct: DataFrame) -> DataFrame:
-    """``norm`` of the segments that near-duplicates of trusted ones reach. ``distinct`` has norm and trusted.
+def spread(marked: DataFrame, sketched: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(key, reason)`` of all segments that a trusted label reaches. ``labels`` has key and reason of the trusted ones.
 
-    Each round compares the newly labelled, which are few, with all others of like length, until there are no new ones.
+    Each round follows the links of what was labelled in the round before, until there is nothing new.
     """
-    frontier = materialize(distinct.where("trusted").select("norm"), "seeds")
-    rest = distinct.where(~F.col("trusted")).select("norm")
-    reached = frontier
-    while not frontier.isEmpty():
-        frontier = materialize(near(rest, frontier).join(reached, "norm", "left_anti"), "reached")
-        reached = materialize(reached.unionByName(frontier), "reached")
-    return reached
+    counted = marked.select("key", "unit").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("units"))
+    repeated = materialize(counted.where(F.col("units") >= REPEATED), "repeated")
+    fresh = labels
+    touched = None
+    while not fresh.isEmpty():
+        frontier = materialize(sketched.join(_sized(fresh.select("key"), 16), "key", "left_semi"), "frontier")
+        hits = materialize(beside(marked, fresh), "beside")
+        touched = hits if touched is None else touched.unionByName(hits)
+        found = near(sketched, frontier).withColumn("reason", F.lit("near-duplicate")).unionByName(companions(touched, repeated).withColumn("reason", F.lit("companion")))
+        found = found.groupBy("key").agg(F.max("reason").alias("reason"))
+        fresh = materialize(found.join(labels.select("key"), "key", "left_anti"), "fresh")
+        labels = labels.unionByName(fresh)
+    return labels
 
 
 def residue_segments(documents: DataFrame) -> DataFrame:
-    """``(doc_id, segment, norm, reason)`` of all segments that are residue: placeholder, phrase or near-duplicate."""
-    all_segments = segments(documents).withColumn("norm", normal(F.col("segment")))
-    placeholder, phrase = has_placeholder(F.col("segment")), has_phrase(F.col("segment"))
-    marked = all_segments.withColumn("reason", F.when(placeholder, F.lit("placeholder")).when(phrase, F.lit("phrase")))
-    words = F.size(F.split("norm", " "))
-    filler = filler_words(all_segments)
-    if filler:
-        share = F.size(F.filter(F.split("norm", " "), lambda w: w.isin(filler))) / words
-        marked = marked.withColumn("reason", F.coalesce("reason", F.when((words >= LEAST_WORDS) & (share >= MOSTLY), F.lit("filler"))))
+    """``(doc_id, segment, norm, reason)`` of all segments that are residue: placeholder, message, filler, near-duplicate or companion."""
+    cut = segments(documents)
+    reason = F.when(has_placeholder(F.col("segment")), F.lit("placeholder")).when(has_seed(F.col("norm")), F.lit("message"))
+    # template syntax is trusted where it is most of a segment; what else such a segment says may stand in any text
+    sure = (F.col("reason") == "message") | ((F.col("reason") == "placeholder") & mostly_template(F.col("segment"), F.col("norm")) & (word_count(F.col("norm")) >= LEAST_WORDS))
+    marked = cut.withColumn("reason", reason).withColumn("trusted", F.coalesce(sure, F.lit(False)))
     marked = materialize(marked, "marked")
-    # a phrase is trusted where the segment opens with it, a placeholder where it is most of the segment
-    sure = (words >= LEAST_WORDS) & ((F.col("reason") == "phrase") | ((F.col("reason") == "placeholder") & mostly_template(F.col("segment"), F.col("norm"))))
-    distinct = marked.where(words >= LEAST_WORDS)
-    distinct = distinct.groupBy("norm").agg(F.max(F.coalesce(sure, F.lit(False))).alias("trusted"))
-    distinct = materialize(distinct, "segments")
-    reached = materialize(spread(distinct).distinct(), "spread")
-    by_label = marked.where("reason is not null")
-    by_spread = marked.where("reason is null").join(reached, "norm").withColumn("reason", F.lit("near-duplicate"))
-    return by_label.unionByName(by_spread.select(*by_label.columns))
+    words = filler_words(marked)
+    if words:
+        share = F.size(F.filter(F.split("norm", " "), lambda w: w.isin(words))) / word_count(F.col("norm"))
+        filler = marked.where("reason is null").where((word_count(F.col("norm")) >= LEAST_WORDS) & (share >= MOSTLY))
+    else:
+        filler = marked.limit(0)
+    trusted = marked.where("trusted").select("key", "reason").unionByName(filler.select("key", F.lit("filler").alias("reason")))
+    labels = materialize(trusted.groupBy("key").agg(F.max("reason").alias("reason")), "labels")
+    if labels.isEmpty():
+        return marked.where("reason is not null").select("doc_id", "segment", "norm", "reason")
+    distinct = marked.where(word_count(F.col("norm")) >= LEAST_WORDS).groupBy("key").agg(F.first("norm").alias("norm"))
+    sketched = materialize(distinct.withColumn("sketch", sketch(F.col("norm"))), "sketched")
+    reached = materialize(spread(marked, sketched, labels), "spread")
+    by_label = marked.where("reason is not null").select("doc_id", "segment", "norm", "reason")
+    # an exact copy of a trusted segment is its nearest duplicate
+    told = F.when(F.col("found").isin("message", "placeholder"), F.lit("near-duplicate")).otherwise(F.col("found"))
+    by_link = marked.where("reason is null").join(reached.withColumnRenamed("reason", "found"), "key").select("doc_id", "segment", "norm", told.alias("reason"))
+    return by_label.unionByName(by_link)
 
 
 def residue_documents(documents: DataFrame) -> DataFrame:

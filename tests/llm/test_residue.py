@@ -9,7 +9,7 @@ from colophon.llm import residue as M
 REAL = "We measured the binding of three ligands to hairpin RNA in yeast. The set {a, b} was drawn anew for each run."
 BAD = [
     "Published in {{ record.journal }}.", "Real text. [[KEYWORDS]] More real text of the paper.", "<%= title %> Why it works is taken up in section 3.", "Type your doi in this space.", "Lorem ipsum dolor sit amet.", REAL + "\nThis is sample text and will be replaced.",
-    "404 Not Found - Go back to the start page", "Zugriff verweigert", "Please enable JavaScript and reload the page.", "ERREUR INTERNE DU SERVEUR", "Keywords: abstract: undefined.", "NÃO FOI POSSÍVEL ABRIR O REGISTO.", "Home | Help | Page not found", "Your volume here (max. 9 words).",
+    "404 Not Found - Go back to the start page", "Zugriff verweigert", "Please enable JavaScript and reload the page.", "ERREUR INTERNE DU SERVEUR", "Keywords: abstract: undefined.", "Error 503: try the mirror.", "Home | Help | Page not found", "Your volume here (max. 9 words).",
 ]
 GOOD = [
     REAL, "The export step replaces the mark {{title}} by the record's title.", "We wrote the model as \\frac{a}{b+52} with ${k}$ fitted freely.", "As filler we used short runs of lorem words in 39 mock records.",
@@ -32,7 +32,7 @@ def test_labels_spread_to_near_duplicates(spark):
     trusted = "please enable javascript and reload the page to read the whole article of the journal"
     chain = [trusted, "p1ease enable javascript and reload the page to read the whole article of the journal", "p1ease enable javascrlpt and reload the page to read the whole article of the joumal"]
     rows = M.residue_segments(documents(spark, chain + [REAL])).collect()
-    assert {(r["doc_id"], r["reason"]) for r in rows} == {(0, "phrase"), (1, "near-duplicate"), (2, "near-duplicate")}
+    assert {(r["doc_id"], r["reason"]) for r in rows} == {(0, "message"), (1, "near-duplicate"), (2, "near-duplicate")}
 
 
 def test_filler_words(spark):
@@ -86,15 +86,39 @@ def reworded(n):
     return notices, copies
 
 
-def test_no_near_duplicate_is_lost(spark):
+def sketched(spark, norms):
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(norms)], "key long, norm string")
+    return df.withColumn("sketch", M.sketch(F.col("norm")))
+
+
+def test_tables_lose_no_pair_within_the_distance(spark):
+    """All pairs within HAMMING bits and the similarity are found; of those that are only similar, more than half are."""
     notices, copies = reworded(240)
-    pairs = {(c, n) for c in copies for n in notices if distance(c, n) * 5 <= max(len(c), len(n))}
-    assert len(pairs) > 100
-    found = dict(zip(copies, M.candidates(copies, M.Seeds(notices))))
-    assert all(n in found[c] for c, n in pairs)
-    distinct = spark.createDataFrame([(n, True) for n in notices] + [(c, False) for c in set(copies)], "norm string, trusted boolean")
-    got = {r[0] for r in M.near(distinct.where("not trusted"), distinct.where("trusted")).collect()}
-    assert got == {c for c, _ in pairs}
+    texts = notices + sorted(set(copies))
+    rows = sketched(spark, texts)
+    bits = dict(rows.select("norm", "sketch").collect())
+    similar = {(c, n) for c in texts for n in notices if c != n and distance(c, n) * 5 <= max(len(c), len(n))}
+    within = {c for c, n in similar if bin((bits[c] ^ bits[n]) & (1 << 64) - 1).count("1") <= M.HAMMING}
+    got = {texts[r[0]] for r in M.near(rows, rows.where(F.col("key") < len(notices))).collect()}
+    assert got == within
+    assert len(within) > 0.5 * len({c for c, _ in similar})
+
+
+def test_flips():
+    assert len(M._flips()) == 1 + 16 + 120 and M.HAMMING == 11
+
+
+def test_companions(spark):
+    """What unrelated documents repeat beside messages belongs to them, wherever it stands; a repeated sentence of real text doesn't."""
+    pages = [f"{code} Not Found\nThe shelf is being moved tonight\nTicket number {code}x" for code in (404, 405, 406, 407)]
+    real = [f"{REAL} Result {'abcdefgh'[i]} was as foretold. Errors are given as usual in the tables below." for i in range(8)]
+    alone = ["The shelf is being moved tonight", f"{REAL}\nThe shelf is being moved tonight\nIt was cold."]
+    mixed = [real[0] + "\n503 Service Unavailable\n" + real[1]]
+    texts = pages + real + alone + mixed
+    got = {(r["doc_id"], r["reason"]) for r in M.residue_segments(documents(spark, texts)).collect()}
+    assert {d for d, _ in got} == {0, 1, 2, 3, 12, 13, 14} and {(12, "companion"), (13, "companion")} <= got
+    copies = [f"404 Not Found\nOnly copies of one page say this" for _ in range(5)] + ["Only copies of one page say this"]
+    assert {r["doc_id"] for r in M.residue_segments(documents(spark, copies)).collect()} == {0, 1, 2, 3, 4}
 
 
 def test_templates_spread(spark):
@@ -110,18 +134,31 @@ def test_long_segments(spark):
     page = "Please enable JavaScript " + " ".join(f"and gate{chr(97 + i)} keeper{chr(97 + i)} must open the door of hall {chr(97 + i)}" for i in range(12))
     tail = " ".join(f"ligand {chr(97 + i)} binds hairpin {chr(98 + i)} in yeast" for i in range(14))
     texts = [page, page.replace("Please enable JavaScript", "Please enabIe Java Script"), "Page not found go back to start " + tail, tail]
-    assert {(r["doc_id"], r["reason"]) for r in M.residue_segments(documents(spark, texts)).collect()} == {(0, "phrase"), (1, "near-duplicate"), (2, "phrase")}
+    assert {(r["doc_id"], r["reason"]) for r in M.residue_segments(documents(spark, texts)).collect()} == {(0, "message"), (1, "near-duplicate"), (2, "message")}
 
 
 def test_long_chains(spark):
-    """A chain of 14 steps, whose ends have nothing in common, is followed to its end."""
-    words = ["abcdefghij"[i] * 9 for i in range(7)]
-    chain = []
-    for new in [None, *"klmnopqrstuvwx"]:
-        words = words if new is None else [*words[1:], new * 9]
-        chain.append(" ".join(words))
-    steps = [chain[0]]
-    for a, b in zip(chain, chain[1:]):
-        steps += [a + " " + b.rsplit(" ", 1)[1], b]
-    distinct = spark.createDataFrame([(s, i == 0) for i, s in enumerate(steps)], "norm string, trusted boolean")
-    assert M.spread(distinct).count() == len(steps)
+    """A chain whose ends have nothing in common is followed as far as its links lead, found here by trying all pairs."""
+    text = "please enable javascript and reload the page to read the whole article of the journal"
+    rng = random.Random(3)
+    chain = [text]
+    for i in rng.sample(range(len(text)), len(text)):
+        last = chain[-1]
+        chain.append(last[:i] + (rng.choice("bcdfghjklmnpqrstvwxz") if last[i] != " " else " ") + last[i + 1 :])
+    chain = list(dict.fromkeys(chain))
+    bits = [r[0] for r in sketched(spark, chain).orderBy("key").select("sketch").collect()]
+    reached, front = {0}, [0]
+    while front:
+        i = front.pop()
+        near = {j for j in range(len(chain)) if j not in reached and bin((bits[i] ^ bits[j]) & (1 << 64) - 1).count("1") <= M.HAMMING and distance(chain[i], chain[j]) * 5 <= len(text)}
+        reached |= near
+        front += near
+    rows = M.residue_segments(documents(spark, chain)).collect()
+    assert {r["doc_id"] for r in rows} == reached
+    assert distance(chain[0], chain[max(reached)]) > 0.5 * len(text)
+
+
+def test_hot_segment(spark):
+    """A notice that a third of all documents hold makes no pairs of its copies."""
+    texts = ["Please enable JavaScript and reload the page."] * 400 + [f"Work {i} on ligand {i}. {REAL}" for i in range(800)]
+    assert M.residue_documents(documents(spark, texts)).count() == 400
