@@ -91,7 +91,7 @@ def segments(documents: DataFrame) -> DataFrame:
     ``unit`` is the same for documents of equal text, ``key`` stands for the norm, ``before`` and ``after`` for those of the
     neighbours. Null and empty texts have no segments.
     """
-    cut = documents.select("doc_id", F.filter(F.split("text", SENTENCE), lambda s: F.trim(s) != "").alias("cut")).where(F.size("cut") > 0)
+    cut = documents.select("doc_id", F.filter(F.split("text", SENTENCE), lambda s: F.trim(s) != "").alias("cut"))
     cut = cut.select("doc_id", "cut", F.transform("cut", normal).alias("norms"))
     keyed = cut.select("doc_id", "cut", "norms", F.transform("norms", lambda n: F.xxhash64(n)).alias("keys"), F.xxhash64("cut").alias("unit"))
     placed = F.transform("cut", lambda s, i: F.struct(s.alias("segment"), F.get("norms", i).alias("norm"), F.get("keys", i).alias("key"), F.get("keys", i - 1).alias("before"), F.get("keys", i + 1).alias("after")))
@@ -151,6 +151,26 @@ def _feature_hashes(data: np.ndarray) -> np.ndarray:
     return h * np.uint64(0xD6E8FEB86659FD93)
 
 
+#: For each byte its bits, the highest first, in the eight bytes of a number, so that one sum counts eight bits.
+_LANES = sum((np.arange(256, dtype=np.uint64) >> np.uint64(7 - j) & np.uint64(1)) << np.uint64(8 * j) for j in range(8))
+#: So many bits can be counted in a byte.
+_PIECE = 255
+
+
+def _bit_counts(hashes: np.ndarray, first: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """For each row, given by its first hash and their number, how many of the hashes have each bit."""
+    pieces = -(-grams // _PIECE)
+    owner = np.repeat(np.arange(len(grams)), pieces)
+    within = (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * _PIECE
+    starts = first[owner] + within
+    ends = starts + np.minimum(grams[owner] - within, _PIECE)
+    # what lies between the rows is summed apart
+    edges = np.stack([starts, ends], 1).ravel()
+    lanes = _LANES[hashes.view(np.uint8).reshape(-1, 8)]
+    sums = np.add.reduceat(np.concatenate([lanes, np.zeros((1, 8), np.uint64)]), edges, axis=0)[::2]
+    return np.add.reduceat(sums.view(np.uint8).reshape(-1, 64), np.cumsum(pieces) - pieces, axis=0, dtype=np.int32)
+
+
 def simhash_array(texts: pa.Array) -> pa.Array:
     """SimHash of each text over its three-byte grams: the sign of the sum of their hashes' bits. Short texts and nulls give 0."""
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -160,17 +180,13 @@ def simhash_array(texts: pa.Array) -> pa.Array:
     out = np.zeros(len(grams), np.int64)
     ends = np.cumsum(grams)
     at = 0
-    while at < len(grams):  # blocks keep the bit table small whatever the length of the texts
-        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 500_000, "right")))
+    while at < len(grams):  # blocks keep the table of lanes small whatever the length of the texts
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 200_000, "right")))
         some = np.flatnonzero(grams[at:end]) + at
         if len(some):
             low, high = offsets[at], offsets[end]
-            bits = np.unpackbits(_feature_hashes(data[low:high]).view(np.uint8).reshape(-1, 8), axis=1)
-            # a row's grams lie between its first byte and two bytes before its end; what lies between rows is summed apart
-            edges = np.stack([offsets[some] - low, offsets[some] - low + grams[some]], 1).ravel()
-            inside = edges < len(bits)
-            sums = np.add.reduceat(bits, edges[inside], axis=0, dtype=np.int32)[::2]
-            out[some] = np.packbits(2 * sums > grams[some][:, None], axis=1).view(np.int64)[:, 0]
+            counts = _bit_counts(_feature_hashes(data[low:high]), offsets[some] - low, grams[some])
+            out[some] = np.packbits(2 * counts > grams[some][:, None], axis=1).view(np.int64)[:, 0]
         at = end
     return pa.array(out, pa.int64())
 
@@ -259,11 +275,12 @@ def spread(marked: DataFrame, sketched: DataFrame, labels: DataFrame) -> DataFra
 
 def residue_segments(documents: DataFrame) -> DataFrame:
     """``(doc_id, segment, norm, reason)`` of all segments that are residue: placeholder, message, filler, near-duplicate or companion."""
-    cut = segments(documents)
-    reason = F.when(has_placeholder(F.col("segment")), F.lit("placeholder")).when(has_seed(F.col("norm")), F.lit("message"))
+    # each test in a column of its own, so that the optimizer doesn't repeat it where its result is used
+    tested = segments(documents).withColumn("placeholder", has_placeholder(F.col("segment"))).withColumn("message", has_seed(F.col("norm")))
     # template syntax is trusted where it is most of a segment; what else such a segment says may stand in any text
-    sure = (F.col("reason") == "message") | ((F.col("reason") == "placeholder") & mostly_template(F.col("segment"), F.col("norm")) & (word_count(F.col("norm")) >= LEAST_WORDS))
-    marked = cut.withColumn("reason", reason).withColumn("trusted", F.coalesce(sure, F.lit(False)))
+    template = F.when(F.col("placeholder"), mostly_template(F.col("segment"), F.col("norm")) & (word_count(F.col("norm")) >= LEAST_WORDS)).otherwise(False)
+    reason = F.when(F.col("placeholder"), F.lit("placeholder")).when(F.col("message"), F.lit("message"))
+    marked = tested.select("doc_id", "unit", "key", "before", "after", "segment", "norm", reason.alias("reason"), (F.col("message") & ~F.col("placeholder") | template).alias("trusted"))
     marked = materialize(marked, "marked")
     words = filler_words(marked)
     if words:
