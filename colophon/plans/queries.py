@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,9 +112,9 @@ def search_folded(spark, folder):
     return S.search(_records(spark, folder), S.SearchSpec(query="Étude par TITRAGE")).select("record_id")
 
 
-@query(f"SELECT record_id FROM records WHERE document_type = 'research_article' AND record_status = 'verified' AND publication_year BETWEEN 2000 AND 2020 AND contains(lower(strip_accents({HAY})), 'soren')")
+@query(f"SELECT record_id FROM records WHERE document_type = 'research_article' AND coalesce(record_status, '') = '' AND publication_year BETWEEN 1990 AND 2022 AND contains(lower(strip_accents({HAY})), 'synthese')")
 def search_combined(spark, folder):
-    return S.search(_records(spark, folder), S.SearchSpec(document_type="research_article", status="verified", year_from=2000, year_to=2020, query="Sören")).select("record_id")
+    return S.search(_records(spark, folder), S.SearchSpec(document_type="research_article", status=T.MISSING, year_from=1990, year_to=2022, query="SYNTHÈSE")).select("record_id")
 
 
 @query("SELECT CAST(count(*) FILTER (document_type = 'review') AS BIGINT) AS visible, CAST(count(*) AS BIGINT) AS total FROM records")
@@ -137,7 +138,7 @@ def _top(name: str, sort: str, sql_order: str | None):
 _top("sort_year_desc_top", "year-desc", "coalesce(publication_year, 0) DESC, record_id")
 _top("sort_year_asc_top", "year-asc", "coalesce(publication_year, 0), record_id")
 _top("sort_id_top", "id-asc", "record_id")
-_top("sort_title_top", "title-asc", None)
+_top("sort_title_top", "title-asc", 'title COLLATE "en_us" NULLS FIRST, record_id')
 
 SQL_URL = "replace(replace(replace(replace(replace(replace(url_encode({0}), '%21', '!'), '%27', ''''), '%28', '('), '%29', ')'), '%2A', '*'), '%7E', '~')"
 _PREFIX, _SUFFIX = "split_part(doi, '/', 1)", "regexp_replace(doi, '^[^/]*/', '')"
@@ -186,7 +187,28 @@ def humanize_labels(spark, folder):
     return table(spark, folder, "vocab").select("vocabulary", "code", T.humanize(F.col("code")).alias("words"))
 
 
-# Constraints.
+# Constraints. The collection breaks few of them, so some are asked of a copy in which each fiftieth record or so is damaged in a known way.
+
+
+def _damaged(spark: SparkSession, folder: str) -> DataFrame:
+    """All records; some relate to themselves, to one record twice or to none there is, or name an author twice or a name twice."""
+    n = F.col("record_id").cast("long") % 50
+    no_edges, no_authors = F.array().cast("array<struct<record_id:string,relationship_type:string>>"), F.array().cast("array<struct<name:string,canonical_name:string>>")
+
+    def edge(to, kind: str):
+        return F.struct(to.alias("record_id"), F.lit(kind).alias("relationship_type"))
+
+    more = F.when(n == 1, F.array(edge(F.col("record_id"), "is_version_of"))).when(n == 2, F.array(edge(F.lit("000000001"), "corrects"), edge(F.lit("000000001"), "corrects"))).when(n == 3, F.array(edge(F.concat(F.lit("9"), F.substring("record_id", 2, 8)), "corrects"))).otherwise(no_edges)
+    first = F.get("authors", F.lit(0))["name"]
+    others = F.when(n == 4, F.array(F.struct(F.upper(first).alias("name"), F.lit(None).cast("string").alias("canonical_name")))).when(n == 5, F.array(F.struct(first.alias("name"), first.alias("canonical_name")))).otherwise(no_authors)
+    return _records(spark, folder).withColumn("related", F.concat(F.coalesce("related", no_edges), more)).withColumn("authors", F.concat(F.coalesce("authors", no_authors), others))
+
+
+_N = "CAST(record_id AS BIGINT) % 50"
+DAMAGED = f"""damaged AS (SELECT record_id, list_concat(coalesce(related, []), CASE {_N} WHEN 1 THEN [{{'record_id': record_id, 'relationship_type': 'is_version_of'}}]
+  WHEN 2 THEN [{{'record_id': '000000001', 'relationship_type': 'corrects'}}, {{'record_id': '000000001', 'relationship_type': 'corrects'}}] WHEN 3 THEN [{{'record_id': '9' || substr(record_id, 2, 8), 'relationship_type': 'corrects'}}] ELSE [] END) AS related,
+  list_concat(coalesce(authors, []), CASE {_N} WHEN 4 THEN [{{'name': upper(authors[1].name), 'canonical_name': NULL::VARCHAR}}] WHEN 5 THEN [{{'name': authors[1].name, 'canonical_name': authors[1].name}}] ELSE [] END) AS authors FROM records)"""
+DAMAGED_EDGES, DAMAGED_AUTHORS = DAMAGED + ", " + EDGES.replace("FROM records", "FROM damaged"), DAMAGED + ", " + AUTHORS.replace("FROM records", "FROM damaged")
 
 
 @query("""WITH c AS (SELECT record_id, '$.document_type' AS path, 'document_type' AS vocabulary, document_type AS code FROM records
@@ -221,14 +243,15 @@ def vocab_inverse_check(spark, folder):
     return C.vocabulary_inverses(table(spark, folder, "vocab").where("code <> 'is_corrected_by'"))
 
 
-@query("WITH k AS (SELECT vocabulary, code, label, lower(label) AS key FROM vocab), f AS (SELECT vocabulary, key, min(code) AS first_code FROM k GROUP BY 1, 2 HAVING count(*) > 1) SELECT k.vocabulary, k.code, k.label, f.first_code FROM k JOIN f USING (vocabulary, key) WHERE k.code <> f.first_code")
+@query("WITH k AS (SELECT vocabulary, code, split_part(label, ' ', 1) AS label, lower(split_part(label, ' ', 1)) AS key FROM vocab), f AS (SELECT vocabulary, key, min(code) AS first_code FROM k GROUP BY 1, 2 HAVING count(*) > 1) SELECT k.vocabulary, k.code, k.label, f.first_code FROM k JOIN f USING (vocabulary, key) WHERE k.code <> f.first_code")
 def vocab_duplicate_labels(spark, folder):
-    return C.duplicate_labels(table(spark, folder, "vocab"))
+    """Labels used twice if only their first words are taken."""
+    return C.duplicate_labels(table(spark, folder, "vocab").withColumn("label", F.split("label", " ")[0]))
 
 
-@query(f"WITH {EDGES} SELECT src, idx, dst, type FROM e WHERE NOT EXISTS (SELECT 1 FROM records r WHERE r.record_id = e.dst)")
+@query(f"WITH {DAMAGED_EDGES} SELECT src, idx, dst, type FROM e WHERE NOT EXISTS (SELECT 1 FROM records r WHERE r.record_id = e.dst)")
 def edge_target_missing(spark, folder):
-    return C.target_missing(_records(spark, folder))
+    return C.target_missing(_damaged(spark, folder))
 
 
 @query(f"""WITH {EDGES}, v AS (SELECT code AS type, inverse FROM vocab WHERE vocabulary = 'relationship_type' AND inverse IS NOT NULL)
@@ -238,19 +261,21 @@ def edge_reciprocity(spark, folder):
     return C.reciprocity(_records(spark, folder), table(spark, folder, "vocab"))
 
 
-@query(f"WITH {EDGES} SELECT src, dst, type, CAST(count(*) AS BIGINT) AS n FROM e GROUP BY ALL HAVING count(*) > 1")
+@query(f"WITH {DAMAGED_EDGES} SELECT src, dst, type, CAST(count(*) AS BIGINT) AS n FROM e GROUP BY ALL HAVING count(*) > 1")
 def dup_edge(spark, folder):
-    return C.duplicate_relations(_records(spark, folder))
+    return C.duplicate_relations(_damaged(spark, folder))
 
 
-@query(f"WITH {EDGES} SELECT src, idx, dst, type FROM e WHERE src = dst")
+@query(f"WITH {DAMAGED_EDGES} SELECT src, idx, dst, type FROM e WHERE src = dst")
 def self_edge(spark, folder):
-    return C.self_relations(_records(spark, folder))
+    return C.self_relations(_damaged(spark, folder))
 
 
-@query(f"SELECT record_id, doi FROM records WHERE doi IS NOT NULL AND {SQL_DOI} IN (SELECT {SQL_DOI} FROM removed_dois WHERE doi IS NOT NULL)")
+@query(f"SELECT record_id, doi FROM records WHERE doi IS NOT NULL AND {SQL_DOI} IN (SELECT {SQL_DOI} FROM (SELECT doi FROM removed_dois UNION ALL SELECT doi FROM incoming) WHERE doi IS NOT NULL)")
 def removed_key_semi(spark, folder):
-    return C.removed_keys(_records(spark, folder), table(spark, folder, "removed_dois"))
+    """Records whose key is on the removed list, or among those of the incoming rows, taken for a longer list."""
+    keys = table(spark, folder, "removed_dois").select("doi").unionByName(table(spark, folder, "incoming").select("doi"))
+    return C.removed_keys(_records(spark, folder), keys)
 
 
 @query(rf"""WITH k AS (SELECT idx, doi, {SQL_DOI} AS key FROM removed_dois), f AS (SELECT key, min(idx) AS first_idx FROM k WHERE key IS NOT NULL GROUP BY 1)
@@ -270,14 +295,14 @@ def possible_duplicate_title_year(spark, folder):
     return C.possible_duplicates(_records(spark, folder)).drop("title_key")
 
 
-@query(f"WITH {AUTHORS}, k AS (SELECT record_id, position, trim(regexp_replace({_sql_norm('coalesce(a.canonical_name, a.name)')}, '{SPACE}+', ' ', 'g')) AS key FROM a), f AS (SELECT record_id, key, min(position) AS first_position FROM k WHERE key <> '' GROUP BY 1, 2) SELECT record_id, position, first_position FROM k JOIN f USING (record_id, key) WHERE position > first_position")
+@query(f"WITH {DAMAGED_AUTHORS}, k AS (SELECT record_id, position, trim(regexp_replace({_sql_norm('coalesce(a.canonical_name, a.name)')}, '{SPACE}+', ' ', 'g')) AS key FROM a), f AS (SELECT record_id, key, min(position) AS first_position FROM k WHERE key <> '' GROUP BY 1, 2) SELECT record_id, position, first_position FROM k JOIN f USING (record_id, key) WHERE position > first_position")
 def dup_in_array(spark, folder):
-    return C.duplicate_authors(_records(spark, folder))
+    return C.duplicate_authors(_damaged(spark, folder))
 
 
-@query(f"WITH {AUTHORS} SELECT record_id, position FROM a WHERE a.canonical_name = a.name")
+@query(f"WITH {DAMAGED_AUTHORS} SELECT record_id, position FROM a WHERE a.canonical_name = a.name")
 def redundant_canonical(spark, folder):
-    return C.redundant_canonical(_records(spark, folder))
+    return C.redundant_canonical(_damaged(spark, folder))
 
 
 _LINES = " UNION ALL ".join(
@@ -312,7 +337,18 @@ def url_parts(spark, folder):
     return u.select("record_id", "url", U.is_web_address(F.col("url")).alias("web"), host.alias("host"), U.path_key(F.col("url")).alias("key"), private.alias("private"))
 
 
-@query()
+def _sql_pattern(p: str) -> str:
+    """A pattern of a private place for an engine without look-around: what must not stand beside the match is matched instead."""
+    p = re.sub(r"\(\?<!\[([^\]]*(?:\\\][^\]]*)*)\]\)", lambda m: f"(?:^|[^{m.group(1)}])", p).replace(r"(?<!\$)", r"(?:^|[^$])").replace(r"(?<![:/])", "(?:^|[^:/])")
+    p = p.replace(r"(?!/)[^/\s]", r"[^/\s]").replace(r"(?=[^\s]*[\\/])[^\s]*", r"[^\s]*[\\/]").replace(r"(?![^\s]*\$)[^\s]*", r"[^\s$]*(?:\s|$)")
+    return re.sub(r"\(\?!\[([^\]]*)\]\)", lambda m: f"(?:$|[^{m.group(1)}])", p)
+
+
+SQL_PRIVATE = [_sql_pattern(p) for p in U.PRIVATE_REFERENCES]
+_PRIVATE_CASE = "CASE " + " ".join(f"WHEN regexp_matches(t, '{p}') THEN {i}" for i, p in enumerate(SQL_PRIVATE, 1)) + " END"
+
+
+@query(f"SELECT doc_id, CAST({_PRIVATE_CASE} AS INTEGER) AS pattern, '' AS codes FROM (SELECT doc_id, regexp_replace(text, 'https?://[^ \\r\\n<>\"]+', '', 'g') AS t FROM documents WHERE text IS NOT NULL) WHERE {_PRIVATE_CASE} IS NOT NULL")
 def private_reference_scan(spark, folder):
     """Documents that give away a private place, read as notes: the first pattern, after public addresses are taken out."""
     notes = table(spark, folder, "documents").where("text is not null").select("doc_id", U.scanned(F.col("text")).alias("s"))
@@ -339,13 +375,44 @@ def schema_rule_findings(spark, folder):
     return R.check(_records(spark, folder).drop("origin", "added_at", "updated_at"), R.record_schema(), "record_id").select("record_id", "code", "path")
 
 
-@query(f"SELECT record_id FROM records WHERE publication_year > {LATEST_YEAR - 3}")
+@query("SELECT record_id FROM records WHERE publication_year > 2015")
 def future_years(spark, folder):
     """Years beyond a bound that is passed in."""
-    return _records(spark, folder).where(F.col("publication_year") > LATEST_YEAR - 3).select("record_id")
+    return _records(spark, folder).where(F.col("publication_year") > 2015).select("record_id")
 
 
-@query()
+def _all_findings_sql() -> str:
+    """Severity and code of every finding, put together from the SQL of the single rules."""
+    whole = ORACLES["vocab_anti_join"].replace(" AND v.code <> 'on_hold' AND v.code <> 'book'", "")
+    notes = "(SELECT record_notes AS t FROM records WHERE record_notes IS NOT NULL AND NOT contains(record_notes, '://'))"
+    private = " OR ".join(f"regexp_matches(t, '{p}')" for p in SQL_PRIVATE)
+    parts = [
+        ("error", "code", f"({ORACLES['schema_rule_findings']})"),
+        ("error", "'record.' || problem", f"({ORACLES['blank_padded_multiline']})"),
+        ("error", "CASE WHEN vocabulary = 'relationship_type' THEN 'record.unknown_relationship_type' ELSE 'record.unknown_vocabulary_value' END", f"({whole})"),
+        ("error", "'record.publication_year_future'", f"(SELECT 1 FROM records WHERE publication_year > {LATEST_YEAR})"),
+        ("error", "'record.filename'", "(SELECT 1 FROM records WHERE NOT regexp_matches(record_id, '^[0-9]{9}$'))"),
+        ("error", "'record.redundant_canonical_name'", f"({ORACLES['redundant_canonical'].replace(DAMAGED_AUTHORS, AUTHORS)})"),
+        ("error", "'record.duplicate_author'", f"({ORACLES['dup_in_array'].replace(DAMAGED_AUTHORS, AUTHORS)})"),
+        ("error", "'record.self_relationship'", f"({ORACLES['self_edge'].replace(DAMAGED_EDGES, EDGES)})"),
+        ("error", "'record.duplicate_relationship'", f"(WITH {EDGES} SELECT unnest(range(count(*) - 1)) FROM e GROUP BY src, dst, type HAVING count(*) > 1)"),
+        ("error", "'record.blank_string'", f"(SELECT 1 FROM {notes} WHERE {_sql_strip('t')} = '')"),
+        ("error", "'record.private_reference'", f"(SELECT 1 FROM {notes} WHERE {private})"),
+        ("error", "'record.duplicate_id'", "(SELECT 1 FROM records GROUP BY record_id HAVING count(*) > 1)"),
+        ("error", "'database.removed_doi'", f"(SELECT 1 FROM records WHERE {SQL_DOI} IN (SELECT {SQL_DOI} FROM removed_dois WHERE doi IS NOT NULL))"),
+        ("error", "'database.duplicate_doi'", f"({ORACLES['duplicate_key_members']})"),
+        ("warning", "'database.possible_duplicate'", f"({ORACLES['possible_duplicate_title_year']})"),
+        ("error", "'relationship.target_missing'", f"({ORACLES['edge_target_missing'].replace(DAMAGED_EDGES, EDGES)})"),
+        ("error", "'relationship.inverse_count'", f"({ORACLES['edge_reciprocity']})"),
+        ("error", "'relationship.' || problem", f"({ORACLES['vocab_inverse_check'].replace(chr(32) + 'AND code <> ' + chr(39) + 'is_corrected_by' + chr(39), '')})"),
+        ("error", "'removed_doi.' || problem", f"({ORACLES['removed_list_check']})"),
+        ("error", "'vocabulary.duplicate_label'", f"({ORACLES['vocab_duplicate_labels'].replace('split_part(label, ' + chr(39) + ' ' + chr(39) + ', 1)', 'label').replace('label AS label', 'label')})"),
+        ("error", "'vocabulary.key'", "(SELECT 1 FROM vocab WHERE NOT regexp_matches(code, '^[a-z][a-z0-9_]*$'))"),
+    ]
+    return " UNION ALL ".join(f"SELECT '{severity}' AS severity, {code} AS code FROM {rows} AS r{i}" for i, (severity, code, rows) in enumerate(parts))
+
+
+@query(f"SELECT severity, code, CAST(count(*) AS BIGINT) AS n FROM ({_all_findings_sql()}) GROUP BY 1, 2")
 def findings_by_code(spark, folder):
     """All rules over the whole collection, counted by severity and code."""
     return V.by_code(V.findings(_records(spark, folder), _rules(spark, folder)))
@@ -373,7 +440,7 @@ def findings_summary(spark, folder):
     return V.summary(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
-@query()
+@query(f"SELECT CAST(count(*) FILTER (severity = 'error') AS BIGINT) AS errors, CAST(count(*) FILTER (severity = 'warning') AS BIGINT) AS warnings, count(*) FILTER (severity = 'error') = 0 AS passed FROM ({_all_findings_sql()})")
 def collection_summary(spark, folder):
     """Errors and warnings of all rules over the whole collection, and whether it passed."""
     return V.summary(V.findings(_records(spark, folder), _rules(spark, folder)))
@@ -474,7 +541,8 @@ def change_history(spark, folder):
 
 @query("SELECT change_id, any_value(kind) AS kind FROM record_changes GROUP BY 1")
 def stream_distinct_changes(spark, folder):
-    """The change log read as a stream, each change once."""
+    """The change log read as a stream, each change once: state holds the ids of 30 days of arrival, and what is repeated later than
+    that would be told by the table of changes taken before (there are none yet)."""
     from colophon.streaming import changes
 
     path = f"{folder}/record_changes.parquet"
@@ -482,7 +550,8 @@ def stream_distinct_changes(spark, folder):
     # as a pattern, the table may be a folder or a single file
     source = spark.readStream.schema(schema).parquet(f"{folder}/record_changes.parque[t]")
     out = scratch_path(spark, "stream")
-    stream = changes.distinct_changes(source, "3650 days").select("change_id", "kind")
+    history = spark.createDataFrame([], "change_id long")
+    stream = changes.new_changes(source, history).select("change_id", "kind")
     done = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-state").trigger(availableNow=True).start()
     done.awaitTermination()
     return spark.read.schema("change_id long, kind string").parquet(out)
@@ -493,27 +562,27 @@ def stream_distinct_changes(spark, folder):
 _TAGS = "|".join(H.FORBIDDEN)
 
 
-@query(rf"SELECT doc_id, CAST(len(regexp_extract_all(text, '(?i)<({_TAGS})\b')) AS BIGINT) AS n FROM documents WHERE contains(text, '<')")
+@query(rf"SELECT doc_id, CAST(len(regexp_extract_all(text, '(?i)<({_TAGS})\b')) AS BIGINT) AS n FROM documents")
 def html_forbidden_tags(spark, folder):
-    return table(spark, folder, "documents").where(F.col("text").contains("<")).select("doc_id", H.forbidden_count(F.col("text")).alias("n"))
+    return table(spark, folder, "documents").select("doc_id", H.forbidden_count(F.col("text")).alias("n"))
 
 
 @query(r"""SELECT doc_id, md5(regexp_replace(text, '(?i)\s(class|style|srcset|sizes|loading|decoding|data-[\w-]+|on[a-z]+)\s*=\s*("[^"]*"|''[^'']*'')', '', 'g')) AS stripped,
-  CAST(len(regexp_extract_all(text, '(?i)\s(class|style|srcset|sizes|loading|decoding|data-[\w-]+|on[a-z]+)\s*=\s*("[^"]*"|''[^'']*'')')) AS BIGINT) AS n FROM documents WHERE contains(text, '<')""")
+  CAST(len(regexp_extract_all(text, '(?i)\s(class|style|srcset|sizes|loading|decoding|data-[\w-]+|on[a-z]+)\s*=\s*("[^"]*"|''[^'']*'')')) AS BIGINT) AS n FROM documents""")
 def html_attr_strip(spark, folder):
-    return table(spark, folder, "documents").where(F.col("text").contains("<")).select("doc_id", F.md5(H.without_attributes(F.col("text"))).alias("stripped"), H.attribute_count(F.col("text")).alias("n"))
+    return table(spark, folder, "documents").select("doc_id", F.md5(H.without_attributes(F.col("text"))).alias("stripped"), H.attribute_count(F.col("text")).alias("n"))
 
 
 @query(rf"""SELECT doc_id, concat_ws(',', CASE WHEN regexp_matches(text, '(?i)<!doctype') THEN 'doctype' END, CASE WHEN regexp_matches(text, '(?i)<(html|head)\b') THEN 'document' END,
-  CASE WHEN len(regexp_extract_all(text, '(?i)<body\b')) <> 1 THEN 'body' END, CASE WHEN len(regexp_extract_all(text, '(?i)<({_TAGS})\b')) > 0 THEN 'forbidden' END) AS broken FROM documents WHERE contains(text, '<')""")
+  CASE WHEN len(regexp_extract_all(text, '(?i)<body\b')) <> 1 THEN 'body' END, CASE WHEN len(regexp_extract_all(text, '(?i)<({_TAGS})\b')) > 0 THEN 'forbidden' END) AS broken FROM documents""")
 def html_postconditions(spark, folder):
-    return table(spark, folder, "documents").where(F.col("text").contains("<")).select("doc_id", F.array_join(H.broken_promises(F.col("text")), ",").alias("broken"))
+    return table(spark, folder, "documents").select("doc_id", F.array_join(H.broken_promises(F.col("text")), ",").alias("broken"))
 
 
 @query()
 def html_clean_full(spark, folder):
-    """Documents that hold mark-up, as archival fragments with counts."""
-    pages = table(spark, folder, "documents").where(F.col("text").contains("<")).select("doc_id", H.cleaned(F.col("text")).alias("c"))
+    """All documents as archival fragments with counts."""
+    pages = table(spark, folder, "documents").select("doc_id", H.cleaned(F.col("text")).alias("c"))
     return pages.select("doc_id", "c.html", "c.source_bytes", "c.output_bytes", "c.removed_elements", "c.removed_attributes", F.array_join("c.problems", ",").alias("problems"))
 
 
@@ -550,9 +619,9 @@ def asset_lookup_fallback(spark, folder):
     return H.resolve_assets(one.select("page_id", "image", F.posexplode(urls).alias("pos", "url")), H.best_renditions(_manifest(spark, folder)))
 
 
-@query("""WITH i AS (SELECT source AS page_id, sha256(text) AS path, doc_id AS image, CASE WHEN lang = 'en' THEN '' ELSE lang END AS alt FROM documents WHERE source IS NOT NULL)
+@query("""WITH i AS (SELECT source AS page_id, sha256(text) AS path, doc_id AS image, CASE WHEN lang = 'en' THEN '' ELSE lang END AS alt FROM documents)
   SELECT page_id, path, min(image) AS image, arg_min(alt, image) FILTER (alt IS NOT NULL AND alt <> '') AS alt FROM i GROUP BY 1, 2""")
 def asset_dedup_keep_first(spark, folder):
     """Equal texts of a source once, with the language of the first copy that tells it."""
-    images = table(spark, folder, "documents").where("source is not null").select(F.col("source").alias("page_id"), F.sha2("text", 256).alias("path"), F.col("doc_id").alias("image"), F.when(F.col("lang") == "en", "").otherwise(F.col("lang")).alias("alt"))
+    images = table(spark, folder, "documents").select(F.col("source").alias("page_id"), F.sha2("text", 256).alias("path"), F.col("doc_id").alias("image"), F.when(F.col("lang") == "en", "").otherwise(F.col("lang")).alias("alt"))
     return H.keep_first(images).select("page_id", "path", "image", "alt")

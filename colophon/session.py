@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import io
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -32,14 +34,24 @@ def build_session(app: str = "colophon", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by spark.checkpoint.dir.
 
-    Where that setting is missing (tests on one machine) a folder of our own is made and recorded in the session.
+    Where that setting is missing and all runs on one machine (tests), a folder of our own is made, recorded in the session and
+    removed when the program ends. On a cluster a missing setting is an error, since no folder of one machine will do.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="colophon-")
+        if not is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors can reach")
+        own = tempfile.mkdtemp(prefix="colophon-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        base = "file://" + own
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
@@ -63,10 +75,17 @@ def materialize(df: DataFrame, tag: str = "table", partition_by: list[str] | Non
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Deletes all tables that this library wrote to the shared folder; what was read from them can't be used any more."""
+    base = shared_dir(spark) + "/colophon"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers of a cluster; once a session, nothing to do in local mode."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_colophon_shipped", False):
+    if is_local(spark) or getattr(sc, "_colophon_shipped", False):
         return
     root = Path(__file__).parent
     data = io.BytesIO()

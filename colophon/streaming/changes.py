@@ -19,6 +19,12 @@ def distinct_changes(stream: DataFrame, lateness: str = "30 days") -> DataFrame:
     return timed.withWatermark("arrived_at", lateness).dropDuplicatesWithinWatermark(["change_id"])
 
 
+def new_changes(stream: DataFrame, history: DataFrame, lateness: str = "30 days") -> DataFrame:
+    """distinct_changes without those that ``history``, a table of what was taken before, holds already: state stays as large as
+    the watermark is long, and repeats that come later than that are told by the table."""
+    return distinct_changes(stream.join(history.select("change_id").distinct(), "change_id", "left_anti"), lateness)
+
+
 def daily_counts(stream: DataFrame, lateness: str = "30 days", window: str = "1 day") -> DataFrame:
     """``(day, kind, n)`` by the time of the change; days close when the watermark has passed them."""
     timed = stream.withColumn("changed_at", F.col("changed_at").cast("timestamp"))

@@ -179,6 +179,17 @@ def test_id_ranges_and_grid(spark):
     assert (last["sheet"], last["grid_row"], last["grid_column"]) == (2, 0, 1)
 
 
+def test_numbers_of_a_hot_partition(spark):
+    """Rows are numbered within each source over several ranges, one source and the missing one included."""
+    df = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("s"))
+    got = C.numbered(df, "id", "s").collect()
+    seen = {}
+    for r in sorted(got, key=lambda r: r["id"]):
+        assert r["number"] == seen.get(r["s"], 0)
+        seen[r["s"]] = r["number"] + 1
+    assert len(got) == 5000
+
+
 def test_diff(spark):
     base = records(spark, *[{"record_id": f"00000000{i}", "doi": f"10.1234/{i}", "title": f"Title {i}", "journal": f"J{i}", "authors": [(f"Author {i}{k}", None) for k in range(9)]} for i in range(1, 6)])
     head = base.where("record_id <> '000000002'").withColumn("title", F.when(F.col("record_id") == "000000003", "Changed").otherwise(F.col("title")))
@@ -200,7 +211,9 @@ def test_change_log(spark):
     assert [r["change_id"] for r in D.late(once).collect()] == [2]
 
 
-def test_lookup_join_spreads_hot_keys(spark):
+@pytest.mark.parametrize("small", [0, 16 << 20])
+def test_lookup_join_spreads_hot_keys(spark, monkeypatch, small):
+    monkeypatch.setattr("colophon.operators.skew.SMALL_BYTES", small)
     facts = spark.range(1000).withColumn("k", F.when(F.col("id") < 600, 0).otherwise(F.col("id") % 50 + 1).cast("long"))
     dim = facts.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("first"))
     out = lookup_join(facts, dim, ["k"], "n")
