@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,21 +30,33 @@ MARKS = re.compile(r"<[^<>]{0,40}>|\[\d{1,4}\]|\(\d{1,4}\)|\(refs?\.? ?\d{1,4}\)
 LINE_END = re.compile(r"(?<=\w)-\s*\n\s*(?=\w)")
 HIDDEN = re.compile("[­​-‏⁠﻿]")
 WORD = re.compile(r"[^\W_]+")
+# Characters of scripts that write without spaces (Han, kana, Thai, Lao, Burmese, Khmer); each counts as a word.
+UNSPACED = "\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff\u0e01-\u0e4e\u0e81-\u0ece\u1000-\u109f\u1780-\u17d3"
+ANY_UNSPACED = re.compile(f"[{UNSPACED}]")
+WORD_OR_CHARACTER = re.compile(rf"[{UNSPACED}]|(?:(?![{UNSPACED}])[^\W_])+")
+#: An opening sentence is a stock instruction if items with so many different passages have it.
+STOCK = 2
 
 
 def words(text: str) -> list[str]:
-    """Words of the text in lower case, without marks; none for an empty text."""
+    """Words of the text in lower case, without marks; none for an empty text. Text without spaces is taken character by character."""
+    pattern = WORD
     if not text.isascii():
         text = HIDDEN.sub("", unicodedata.normalize("NFKC", text))
-    return WORD.findall(MARKS.sub(" ", LINE_END.sub("", text)).lower())
+        pattern = WORD_OR_CHARACTER if ANY_UNSPACED.search(text) else WORD
+    return pattern.findall(MARKS.sub(" ", LINE_END.sub("", text)).lower())
 
 
 def without_instruction(items: list[tuple[int, str]]) -> list[tuple[int, list[str]]]:
-    """Words of each item without an opening sentence that several items share."""
+    """Words of each item without an opening sentence that items with STOCK different passages share; copies of an item count once."""
     cut = [re.match(r"\s*(.*?[.!?:])(?=\s)", t or "", re.S) for _, t in items]
     opening = [" ".join(words(m.group(1))) if m else "" for m in cut]
-    often = {k for k, n in Counter(opening).items() if k and n > 1}
-    return [(i, words((t or "")[m.end() :] if m and o in often else (t or ""))) for (i, t), m, o in zip(items, cut, opening)]
+    rests = defaultdict(set)
+    for (_, t), m, o in zip(items, cut, opening):
+        if o:
+            rests[o].add(tuple(words(t[m.end() :])))
+    stock = {o for o, different in rests.items() if len(different) >= STOCK}
+    return [(i, words((t or "")[m.end() :] if m and o in stock else (t or ""))) for (i, t), m, o in zip(items, cut, opening)]
 
 
 class Index:

@@ -20,7 +20,6 @@ from colophon.session import materialize
 
 CAPACITY = 2048
 BUCKETS = 96
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Items of a bucket that are ranked by one task.
 RANKED = 200_000
 # Fixed value: the pattern that splits text before the merges of the vocabulary.
@@ -35,8 +34,8 @@ def _encoding(ranks: bytes):
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
 
-def token_count(text: Column, spark, vocabulary: str = VOCABULARY) -> Column:
-    """Tokens of the text under a public vocabulary; the file is read once and sent to the executors. Null gives null."""
+def token_count(text: Column, spark, vocabulary: str) -> Column:
+    """Tokens of the text under a public vocabulary; the driver reads the file ``vocabulary`` once and sends it to the executors. Null gives null."""
     with open(vocabulary, "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())
 

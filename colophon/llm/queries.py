@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from colophon.llm import canonical_list, formatting, fusion, incremental, leakag
 from colophon.session import materialize, ship_package
 from colophon.tables import table
 
+#: The vocabulary file by which the queries measure texts.
+VOCABULARY = os.environ.get("COLOPHON_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
@@ -133,7 +138,7 @@ def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     """The container of each document, or of each piece of a document that is longer than a container."""
     ship_package(spark)
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    sized = documents.select("doc_id", packing.token_count(F.col("text"), spark).alias("size"))
+    sized = documents.select("doc_id", packing.token_count(F.col("text"), spark, VOCABULARY).alias("size"))
     return packing.pack(sized, "doc_id", "size").withColumnRenamed("id", "doc_id")
 
 
@@ -144,6 +149,17 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return total.withColumn("filled", F.round(F.col("tokens") / (F.col("containers") * packing.CAPACITY), 6))
 
 
+def p8_cover(spark: SparkSession, folder: str) -> DataFrame:
+    """What a packing must keep to: every text with a token has its container, none is over its capacity, and only texts that are
+    longer than one are split. The number of texts, of overfull containers and of texts split without need."""
+    placed = materialize(p8_containers(spark, folder), "placed")
+    over = placed.groupBy("container_id").agg(F.sum("tokens").alias("load")).where(F.col("load") > packing.CAPACITY)
+    split = placed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum("tokens").alias("size")).where((F.col("pieces") > 1) & (F.col("size") <= packing.CAPACITY))
+    parts = [placed.where("tokens > 0").agg(F.count_distinct("doc_id")), over.agg(F.count(F.lit(1))), split.agg(F.count(F.lit(1)))]
+    rows = [p.toDF("n").select(*[(F.col("n") if i == k else F.lit(0).cast("long")).alias(c) for k, c in enumerate(("texts", "overfull", "split_without_need"))]) for i, p in enumerate(parts)]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).agg(*[F.sum(c).alias(c) for c in ("texts", "overfull", "split_without_need")])
+
+
 def p1_record_copies(spark: SparkSession, folder: str) -> DataFrame:
     """The copies among the records only."""
     return formatting.formatting_duplicates(formatting.record_values(table(spark, folder, "records")))[1].select("first_id", "copy_id")
@@ -166,6 +182,7 @@ QUERIES = {
     "p7_found": p7_found,
     "p8_containers": p8_containers,
     "p8_fill": p8_fill,
+    "p8_cover": p8_cover,
     "p9_found": p9_found,
     "p9_kept": p9_kept,
     "p9_stretches": p9_stretches,
@@ -176,7 +193,31 @@ QUERIES = {
 _DOI = r"""regexp_replace(lower(doi), '^[\s<\[("'']*((https?://)?[a-z0-9.-]*\b(doi|resolver)[a-z0-9.-]*/\s*|doi\s*[:=]?\s*|https?://[^/\s]+/\s*|info:doi/\s*){1,4}', '')"""
 _CANON = r"replace(replace(lower(regexp_replace({0}, '[^\p{{L}}\p{{M}}\p{{N}}]+', '', 'g')), 'ß', 'ss'), 'ς', 'σ')"
 
+
+
+def _sql_plain(x: str) -> str:
+    """plain_title in SQL."""
+    x = f"lower({x})"
+    for pattern in canonical_list.ADDITIONS:
+        x = f"regexp_replace({x}, '{pattern}', '', 'g')"
+    words = rf"string_split(regexp_replace({x}, '[^\p{{L}}\p{{M}}\p{{N}}]+', ' ', 'g'), ' ')"
+    stop = ", ".join(f"'{w}'" for w in canonical_list.STOP_WORDS)
+    forms = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in canonical_list.SHORT_FORMS.items())
+    return f"array_to_string(list_transform(list_filter({words}, lambda w: w <> '' AND w NOT IN ({stop})), lambda w: CASE w {forms} ELSE w END), ' ')"
+
+
+_GRAMS = "CASE WHEN p = '' THEN [] ELSE list_distinct(list_transform(range(1, length(p) + 1), lambda i: substr(' ' || p || ' ', i, 3))) END"
+_MAPPED = f"""v AS (SELECT journal, {_sql_plain('journal')} AS p FROM records WHERE journal IS NOT NULL GROUP BY 1),
+f AS (SELECT p, min(journal_id) AS entry FROM (SELECT journal_id, {_sql_plain('form')} AS p FROM (SELECT journal_id, unnest([title, abbreviation]) AS form FROM journals) WHERE form IS NOT NULL) WHERE p <> '' GROUP BY 1),
+a AS (SELECT p, {_GRAMS} AS g FROM (SELECT DISTINCT p FROM v)), b AS (SELECT p, entry, {_GRAMS} AS g FROM f),
+j AS (SELECT a.p, b.p AS q, b.entry, len(list_intersect(a.g, b.g)) AS k, len(a.g) AS m, len(b.g) AS n FROM a, b WHERE len(a.g) > 0),
+best AS (SELECT p, min(struct_pack(j := -(k / (m + n - k)), d := levenshtein(p, q), e := entry)).e AS entry FROM j WHERE k / (m + n - k) >= {canonical_list.THRESHOLD} GROUP BY 1),
+mapped AS (SELECT v.journal, best.entry FROM v LEFT JOIN best USING (p))"""
+
 ORACLES: dict[str, str] = {
+    "p4_found": f"WITH {_MAPPED} SELECT record_id, CAST(coalesce(m.entry, 0) AS INTEGER) AS journal_id FROM records r JOIN mapped m USING (journal) WHERE r.journal NOT IN (SELECT title FROM journals)",
+    "p4_unmatched": f"WITH {_MAPPED} SELECT journal, CAST(count(*) AS BIGINT) AS n FROM records JOIN mapped USING (journal) WHERE entry IS NULL GROUP BY 1",
+    "p8_cover": "SELECT CAST(count(*) AS BIGINT) AS texts, CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS split_without_need FROM documents WHERE text <> ''",
     "p1_record_copies": f"""
 WITH k AS (SELECT record_id, {_CANON.format('title')} AS t, {_CANON.format(_DOI)} AS d FROM records WHERE title IS NOT NULL AND doi IS NOT NULL),
 g AS (SELECT t, d, min(record_id) AS first_id, count(*) AS n FROM k GROUP BY 1, 2 HAVING count(*) > 1)

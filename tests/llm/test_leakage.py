@@ -52,3 +52,20 @@ def test_leaks(spark):
         assert M.leaks(d, e).count() == 5
     finally:
         M.BLOCK = keep
+
+
+def test_equal_items_keep_their_first_sentence(spark):
+    """Copies of one item share no instruction: a quoted item of 29 words is found for each of them."""
+    text = "These few words open it. " + passage(24)
+    items = spark.createDataFrame([(1, text), (2, text), (3, passage(30))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, passage(9) + " " + text)], "doc_id long, text string")
+    assert sorted(r["item_id"] for r in M.leaks(docs, items).collect()) == [1, 2]
+
+
+def test_scripts_without_spaces(spark):
+    random.seed(11)
+    chinese, thai = "".join(chr(random.randrange(0x4E00, 0x9000)) for _ in range(40)), "".join(chr(random.randrange(0x0E01, 0x0E2E)) for _ in range(40))
+    items = spark.createDataFrame([(1, chinese), (2, thai)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "前文。" + chinese[5:35] + "。后文"), (2, "abc " + thai + " def"), (3, chinese[:20] + "然" + "而" * 9)], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in M.leaks(docs, items).collect()) == [(1, 1), (2, 2)]
+    assert M.words("DNA結合 test") == ["dna", "結", "合", "test"]

@@ -4,6 +4,7 @@ import random
 import numpy as np
 
 from colophon.llm import packing as M
+from colophon.llm.queries import VOCABULARY
 
 
 def padding(bounds, lengths):
@@ -53,5 +54,5 @@ def test_tokens(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame([("hello world",), ("",), (None,), ("<|endoftext|>",)], "t string")
-    got = [r[0] for r in df.select(M.token_count(F.col("t"), spark)).collect()]
+    got = [r[0] for r in df.select(M.token_count(F.col("t"), spark, VOCABULARY)).collect()]
     assert got[0] == 2 and got[1] == 0 and got[2] is None and got[3] > 1
