@@ -133,24 +133,50 @@ def _pattern(encoding: str) -> re.Pattern:
 
 
 # Scripts that are told apart, and the characters that a restored text may gain.
-SCRIPTS = ("LATIN", "GREEK", "CYRILLIC")
+SCRIPTS = ("LATIN", "GREEK", "CYRILLIC", "ARABIC", "HEBREW", "ARMENIAN", "GEORGIAN", "DEVANAGARI", "BENGALI", "GURMUKHI", "GUJARATI", "TAMIL", "TELUGU", "KANNADA", "MALAYALAM", "SINHALA", "THAI", "LAO", "ETHIOPIC", "SYRIAC")
 ORDINARY = [(0xA0, 0x17F), (0x192, 0x192), (0x218, 0x21B), (0x2C6, 0x2C6), (0x2DC, 0x2DC), (0x370, 0x45F), (0x490, 0x491), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x20A0, 0x23FF), (0x2500, 0x25FF), (0x3000, 0x9FFF), (0xAC00, 0xD7A3), (0xFB00, 0xFB06), (0xFF00, 0xFFEF)]
 
 
+#: So many letters of a script beyond ORDINARY in one sequence don't come about by chance.
+ESTABLISHED = 3
+
+
+def _is_ordinary(ch: str) -> bool:
+    return any(a <= ord(ch) <= b for a, b in ORDINARY)
+
+
+def _of_script(ch: str) -> str:
+    """The script a letter, mark or digit is named after; '' if it is none that is told apart."""
+    name = unicodedata.name(ch, "").split(" ")[0]
+    return name if name in SCRIPTS else ""
+
+
+def _is_symbol(ch: str) -> bool:
+    """Emoji and what joins or varies them: four bytes that fit, or a joiner between such."""
+    return ord(ch) >= 0x1F000 and unicodedata.category(ch) in ("So", "Sk") or ch in "\u200d\ufe0f"
+
+
+def _established(parts: list[str]) -> set[str]:
+    """Scripts beyond ORDINARY that the decoded sequences of a text speak for: ESTABLISHED letters of one in a sequence."""
+    counts = [Counter(_of_script(ch) for ch in part if ch.isalpha() and not _is_ordinary(ch)) for part in parts]
+    return {script for c in counts for script, n in c.items() if script and n >= ESTABLISHED and len(c) == 1}
+
+
 @lru_cache(maxsize=65536)
 def _script(ch: str) -> str:
     name = unicodedata.name(ch, "").split(" ")[0] if ch.isalpha() else ""
     return name if name in SCRIPTS else ""
 
 
-def _plausible(text: str, start: int, end: int) -> bool:
-    """Whether the part of the text holds ordinary characters only and the words it touches are of one script each."""
+def _plausible(text: str, start: int, end: int, established: set[str]) -> bool:
+    """Whether the part of the text holds ordinary characters, symbols and established scripts only, and the words it touches are of one script each."""
     for at in range(start, end):
         ch = text[at]
         if ch == "\xad" and (at == 0 or not text[at - 1].isalpha()):
             return False  # a soft hyphen doesn't open a word
         mark = 0x300 <= ord(ch) < 0x370 and at > 0 and text[at - 1].isalpha()
-        if not (mark or 0x80 <= ord(ch) < 0xA0 or any(a <= ord(ch) <= b for a, b in ORDINARY)) or unicodedata.category(ch) in ("Cn", "Co"):
+        known = mark or 0x80 <= ord(ch) < 0xA0 or _is_ordinary(ch) or _is_symbol(ch) or _of_script(ch) in established
+        if not known or unicodedata.category(ch) in ("Cn", "Co"):
             return False
     while start > 0 and text[start - 1].isalpha():
         start -= 1
@@ -171,6 +197,7 @@ def _undo_one(text: str, encoding: str) -> str:
         word = m.group().isalpha() and (text[m.start() - 1 : m.start()].isalpha() or text[m.end() : m.end() + 1].isalpha())
         if not word or good.isalpha():
             found.append((m.start(), m.end(), good))
+    established = _established([good for _, _, good in found])
     while found:
         out, at, places = "", 0, []
         for start, end, good in found:
@@ -179,7 +206,7 @@ def _undo_one(text: str, encoding: str) -> str:
             out += good
             at = end
         out += text[at:]
-        kept = [f for f, p in zip(found, places) if _plausible(out, p, p + len(f[2]))]
+        kept = [f for f, p in zip(found, places) if _plausible(out, p, p + len(f[2]), established)]
         if len(kept) == len(found):
             return out
         found = kept
@@ -190,26 +217,23 @@ def _odd(text: str) -> int:
     return sum(map(len, _RUN.findall(text)))
 
 
-def undo(text: str, encodings: list[str], depth: int = 4) -> str:
+def undo(text: str, encodings: list[str]) -> str:
     """The text with all sequences decoded that are UTF-8 read under one of the encodings.
 
-    Each encoding is undone again and again (text may have been damaged more than once); the encoding that leaves the fewest
-    non-ASCII characters wins, the better supported one at a tie; what is left is tried with the others.
+    Each encoding is undone again and again (text may have been damaged more than once, and each time makes it shorter); the
+    encoding that leaves the fewest non-ASCII characters wins, the better supported one at a tie; what is left is tried with the others.
     """
-    for _ in range(depth):
+    while True:
         best, least = text, _odd(text)
         for e in encodings:
-            trial = text
-            for _ in range(depth):
+            before, trial = None, text
+            while trial != before:
                 before, trial = trial, _undo_one(trial, e)
-                if trial == before:
-                    break
             if _odd(trial) < least:
                 best, least = trial, _odd(trial)
         if best == text:
-            break
+            return text
         text = best
-    return text
 
 
 _C1 = re.compile("[\x80-\x9f]")
