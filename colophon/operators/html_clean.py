@@ -10,13 +10,15 @@ from __future__ import annotations
 import html as _html
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.functions import urls as U
+from colophon.operators.images import Manifest, embed
 
 # Elements that go with their content, elements that go without it, attributes that go, void elements.
 FORBIDDEN = ["script", "style", "link", "iframe", "template", "object", "embed", "canvas", "video", "audio", "form", "input", "button", "select", "textarea", "nav", "search"]
@@ -93,7 +95,10 @@ KEPT_CONTROLS = [("#author-group", "button", "span"), (".ArticleFigure", "button
 # How the id or file name of a figure shows its number.
 FIGURE_NUMBER = [r"(?i)^(?:fig(?:ure)?|f)[-_.]?0*(\d+)", r"(?i)-fig-0*(\d+)", r"(?i)\bfig(?:ure)?\.?\s*0*(\d+)", r"(?i)\.g0*(\d+)\b", r"(?i)fig0*(\d+)\.(?:jpe?g|png|gif|webp)"]
 
-STATS = "source_bytes long, output_bytes long, removed_elements long, removed_attributes long, omitted_images long"
+COUNTERS = ["source_bytes", "output_bytes", "removed_elements", "removed_attributes", "embedded_images", "embedded_large_figures", "unique_embedded_assets", "omitted_images", "duplicate_images_removed"]
+STATS = ", ".join(f"{c} long" for c in COUNTERS)
+#: An asset of a page as its manifest lists it, with its content; figure is the number of a large figure, else null.
+ASSET = "struct<kind:string,url:string,path:string,width:int,height:int,bytes:long,content_type:string,figure:int,content:binary>"
 CLEANED = f"html string, {STATS}, problems array<string>"
 
 
@@ -164,31 +169,49 @@ def parse(page: str) -> Node:
 _STEP = re.compile(r"([a-z0-9*]+)?((?:[#.][\w-]+|\[[^\]]*\])*)", re.I)
 
 
-def _matches(node: Node, simple: str) -> bool:
+@lru_cache(maxsize=4096)
+def _tests(simple: str) -> tuple[str, tuple] | None:
+    """Tag and conditions of one step of a selector, each (attribute, way to compare, value, without case); None if it is no step."""
     m = _STEP.fullmatch(simple)
-    if not m or m.group(1) and node.tag != m.group(1).lower():
-        return False
+    if not m:
+        return None
+    tests = []
     for part in re.findall(r"[#.][\w-]+|\[[^\]]*\]", m.group(2)):
         if part[0] == "#":
-            ok = node.attrs.get("id") == part[1:]
+            tests.append(("id", "", part[1:], False))
         elif part[0] == ".":
-            ok = part[1:] in node.attrs.get("class", "").split()
+            tests.append(("class", ".", part[1:], False))
         else:
             name, fold, op, value = re.fullmatch(r"\[([\w-]+)(?:(~)?([\^*$]?)=(.*))?\]", part).groups()
-            have = node.attrs.get(name)
-            if have is None:
-                return False
-            if value is None:
-                continue
-            have = have.lower() if fold else have
-            ok = have == value if not op else have.startswith(value) if op == "^" else have.endswith(value) if op == "$" else value in have
-        if not ok:
+            tests.append((name, "?" if value is None else op, value, bool(fold)))
+    return (m.group(1) or "").lower(), tuple(tests)
+
+
+# How a value that an attribute has compares with the one that is asked for.
+COMPARED = {
+    "": lambda have, value: have == value,
+    "?": lambda have, value: True,
+    ".": lambda have, value: value in have.split(),
+    "^": lambda have, value: have.startswith(value),
+    "$": lambda have, value: have.endswith(value),
+    "*": lambda have, value: value in have,
+}
+
+
+def _matches(node: Node, simple: str) -> bool:
+    asked = _tests(simple)
+    if asked is None or asked[0] not in ("", "*", node.tag):
+        return False
+    for name, how, value, fold in asked[1]:
+        have = node.attrs.get(name)
+        if have is None or not COMPARED[how](have.lower() if fold else have, value):
             return False
     return True
 
 
-def _steps(selector: str) -> list[str]:
-    return re.findall(r"(?:[^\s\[\]]|\[[^\]]*\])+", selector)
+@lru_cache(maxsize=4096)
+def _steps(selector: str) -> tuple[str, ...]:
+    return tuple(re.findall(r"(?:[^\s\[\]]|\[[^\]]*\])+", selector))
 
 
 def select(root: Node, selector: str) -> list[Node]:
@@ -301,53 +324,75 @@ def _remove(nodes: list[Node]) -> int:
     return n
 
 
-def clean(page: str, base_url: str = "", assets: dict[str, str] | None = None) -> dict:
-    """A page as ``<body>`` fragment, with counts. ``assets`` gives images by address; an image without one is left out, with its
-    description in its place if it has one. Text around a removed element stays."""
+def clean(page: str, base_url: str = "", assets: Manifest | None = None) -> dict:
+    """A page as ``<body>`` fragment, with counts. ``assets`` has the images that may be embedded; without it images stay as they
+    are. Text around a removed element stays."""
     tree = parse(page)
-    count = {"removed_elements": 0, "removed_attributes": 0, "omitted_images": 0}
+    count = dict.fromkeys(COUNTERS, 0)
     root = article_root(tree)
     noise = [n for s in NOISE for n in select(root, s)] + [n for s, link in NOISE_BY_LINK for n in select(root, s) if select(n, link)]
     count["removed_elements"] += _remove(noise)
     promote_figures(root)
     count["removed_elements"] += _remove([n for s in FORBIDDEN for n in select(root, s)])
+    if assets is not None:  # before the elements around them are unwrapped, which hold some of their addresses
+        made = embed([n for n in root.elements() if n.tag == "img"], base_url, assets, lambda text, parent: Node("span", {}, [text], parent))
+        count |= made.counts()
     for tag in UNWRAPPED + ["body", "html", "head"]:
         for node in select(root, tag):
             node.unwrap()
     if root.tag in ("body", "html"):
         root.tag, root.attrs = "#root", {}
-    seen: set[str] = set()
-    for img in select(root, "img") if assets is not None else []:
-        from urllib.parse import urljoin
-
-        tried = [img.attrs.get(a, "") for a in ("src", "data-src", "data-original", "data-lg-src")]
-        tried += [p.strip().split()[0] for p in img.attrs.get("srcset", "").split(",") if p.strip()]
-        hit = next((assets[u] for t in tried if t and (u := urljoin(base_url, t).split("#")[0]) in assets), None)
-        if hit is None or hit in seen:
-            alt = img.attrs.get("alt", "").strip()
-            at = next(i for i, c in enumerate(img.parent.children) if c is img)
-            img.parent.children[at : at + 1] = [Node("span", {}, [f"[Image omitted: {alt}]"], img.parent)] if alt and hit is None else []
-            count["omitted_images"] += 1
-        else:
-            seen.add(hit)
-            img.attrs["src"] = hit
     for node in root.elements():
         bad = [k for k, v in node.attrs.items() if k in STRIPPED or k.startswith(("data-", "on")) or k in LINK_ATTRIBUTES and v.strip().lower().startswith("javascript:")]
         count["removed_attributes"] += len(bad)
         for k in bad:
             del node.attrs[k]
     out = f"<body>\n{render(root).strip()}\n</body>"
-    return {"html": out, "source_bytes": len(page.encode()), "output_bytes": len(out.encode()), **count, "problems": problems(out)}
+    return {"html": out} | count | {"source_bytes": len(page.encode()), "output_bytes": len(out.encode()), "problems": problems(out)}
+
+
+def cleaned(page: Column, base_url: Column | None = None, assets: Column | None = None) -> Column:
+    """struct of CLEANED for each page; null gives null in every part. ``assets`` is an array of ASSET for each page."""
+    parts = ["html", *COUNTERS, "problems"]
+
+    def one(p: str | None, base: str | None, listed) -> dict:
+        if p is None:
+            return dict.fromkeys(parts)
+        return clean(p, base or "", None if listed is None else Manifest([a if isinstance(a, dict) else a.asDict() for a in listed]))
 
+    def run(pages: pd.Series, bases: pd.Series, listed: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(*x) for x in zip(pages, bases, listed)], columns=parts)
 
-def cleaned(page: Column, base_url: Column | None = None) -> Column:
-    """struct of CLEANED for each page; null gives null in every part."""
+    nothing = F.lit(None).cast(f"array<{ASSET}>")
+    return F.pandas_udf(run, CLEANED)(page, base_url if base_url is not None else F.lit(""), assets if assets is not None else nothing)
 
-    def run(pages: pd.Series, bases: pd.Series) -> pd.DataFrame:
-        rows = [dict.fromkeys(["html", "source_bytes", "output_bytes", "removed_elements", "removed_attributes", "omitted_images", "problems"]) if p is None else clean(p, b or "") for p, b in zip(pages, bases)]
-        return pd.DataFrame(rows, columns=["html", "source_bytes", "output_bytes", "removed_elements", "removed_attributes", "omitted_images", "problems"])
 
-    return F.pandas_udf(run, CLEANED)(page, base_url if base_url is not None else F.lit(""))
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, pos, kind, url, path, width, height, bytes, content_type, figure)`` of JSON manifests of images and of large figures."""
+    one = "array<struct<kind:string,url:string,path:string,width:int,height:int,bytes:long,contentType:string,figure:int>>"
+    files = spark.read.schema(f"assets {one}").option("multiLine", True).json(path).select(F.input_file_name().alias("file"), F.posexplode("assets").alias("pos", "a"))
+    return files.select("file", "pos", F.coalesce("a.kind", F.when(F.col("a.figure").isNotNull(), F.lit("large"))).alias("kind"), "a.url", "a.path", "a.width", "a.height", "a.bytes", F.col("a.contentType").alias("content_type"), "a.figure")
+
+
+def clean_pages(pages: DataFrame, manifest: DataFrame, contents: DataFrame) -> DataFrame:
+    """``(page_id, c)``: pages (page_id, base_url, html) with the assets of their manifests embedded.
+
+    ``manifest`` has page_id and the columns of read_manifest, ``contents`` path and content. A page carries its own assets
+    only, which are brought to it by two joins; a page without manifest keeps nothing but the descriptions of its images.
+    """
+    held = manifest.join(contents.select("path", "content"), "path")
+    fields = ["kind", "url", "path", "width", "height", "bytes", "content_type", "figure", "content"]
+    listed = held.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("pos", *fields))).alias("a"))
+    listed = listed.select("page_id", F.transform("a", lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("assets"))
+    all_of = pages.join(listed, "page_id", "left").withColumn("assets", F.coalesce("assets", F.array().cast(f"array<{ASSET}>")))
+    return all_of.select("page_id", cleaned(F.col("html"), F.col("base_url"), F.col("assets")).alias("c"))
+
+
+def write_fragments(rows: DataFrame, folder: str) -> None:
+    """Fragments and their counts as a table, and the counts of all pages as JSON beside it."""
+    rows.write.mode("overwrite").parquet(f"{folder}/fragments")
+    totals = rows.agg(F.count(F.lit(1)).alias("pages"), *[F.sum(f"c.{c}").alias(c) for c in COUNTERS])
+    totals.coalesce(1).write.mode("overwrite").json(f"{folder}/counts")
 
 
 def without_noscript(page: Column) -> Column:

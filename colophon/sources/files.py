@@ -53,6 +53,12 @@ def image_header(data: bytes) -> tuple[str, int, int, int] | None:
         return "TIFF", size.get(256, 0), size.get(257, 0), frames
     if data[:4] == b"RIFF" and data[8:16] == b"WEBPVP8X" and len(data) >= 30:
         return "WEBP", 1 + int.from_bytes(data[24:27], "little"), 1 + int.from_bytes(data[27:30], "little"), max(data.count(b"ANMF"), 1)
+    if data[:4] == b"RIFF" and data[8:16] == b"WEBPVP8 " and data[23:26] == b"\x9d\x01\x2a" and len(data) >= 30:
+        width, height = struct.unpack("<HH", data[26:30])
+        return "WEBP", width & 0x3FFF, height & 0x3FFF, 1
+    if data[:4] == b"RIFF" and data[8:16] == b"WEBPVP8L" and data[20:21] == b"\x2f" and len(data) >= 25:
+        bits = int.from_bytes(data[21:25], "little")
+        return "WEBP", (bits & 0x3FFF) + 1, (bits >> 14 & 0x3FFF) + 1, 1
     return None
 
 

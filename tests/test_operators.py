@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from colophon.operators import constraints as C
 from colophon.operators import diff as D
 from colophon.operators import html_clean as H
+from colophon.operators import images as I
 from colophon.operators import schema_rules as R
 from colophon.operators import search as S
 from colophon.operators import validate as V
@@ -237,14 +238,56 @@ def test_html_cleaning(spark):
     assert H.problems("<body><form></form></body>") == ["forbidden:form"] and "doctype" in H.problems(PAGE)
     shell = "<div id='shell'>site<article><div id='abstracts'>a</div><div id='body'>long text</div></article></div>"
     assert "site" not in H.clean(shell)["html"]
-    images = "<img src='a.png' alt='Fig 1'><img src='b.png' alt='Fig 2'><img src='a.png'>"
-    with_assets = H.clean(images, "https://e.org/", {"https://e.org/a.png": "data:x"})
-    assert with_assets["html"].count("data:x") == 1 and "[Image omitted: Fig 2]" in with_assets["html"] and with_assets["omitted_images"] == 2
     df = spark.createDataFrame([(PAGE,), (None,), ("",)], "p string")
     rows = df.select(H.cleaned(F.col("p")).alias("c"), H.forbidden_count(F.col("p")).alias("n"), H.broken_promises(F.col("p")).alias("b")).collect()
     assert rows[0]["n"] == 2 and rows[0]["b"] == ["doctype", "document", "forbidden"] and rows[1]["c"]["html"] is None
 
 
+def asset(url, content=b"x", **more):
+    return {"kind": "image", "url": url, "path": url.rsplit("/", 1)[-1], "content": content, "content_type": "image/png"} | more
+
+
+def test_embedded_images():
+    """Each image is told by its address, its key or its number, shown once, and else replaced by its description."""
+    base = "https://e.org/p/"
+
+    def run(page, *rows):
+        return H.clean(page, base, I.Manifest(list(rows)))
+
+    a, b = asset("https://e.org/p/a.png", b"A"), asset("https://e.org/p/b.png", b"B")
+    out = run("<img src='a.png'><img src='c.png' alt='Gone'><img src='a.png' alt='Fig 1'>", a, b)
+    assert out["html"].count("data:image/png;base64,QQ==") == 1 and 'alt="Fig 1"' in out["html"] and "[Image omitted: Gone]" in out["html"]
+    counters = ("embedded_images", "unique_embedded_assets", "omitted_images", "duplicate_images_removed", "embedded_large_figures")
+    assert [out[c] for c in counters] == [1, 1, 1, 1, 0]
+    same = run("<img src='a.png' alt='x'><img src='b.png' alt='y'><img src='none.png' alt='x'>", a, asset("https://e.org/p/b.png", b"A"))
+    assert [same[c] for c in counters] == [1, 1, 0, 2, 0] and "omitted" not in same["html"]
+    assert run("<img src='https://E.org/p/a.png?w=9'>", a)["embedded_images"] == 1
+    assert run("<img src='https://e.org/p/a.png?w=9'>", asset("https://e.org/p/a.png?1"), asset("https://e.org/p/a.png?2"))["omitted_images"] == 1
+    assert run("<figure><img src='t.png'><a href='b.png'>large</a></figure>", b)["embedded_images"] == 1
+    assert run("<picture><source srcset='b.png 2x, c.png 3x'><img src='t.png'></picture>", b)["embedded_images"] == 1
+    large = {"figure": 3, "path": "l3.png", "content": b"L", "content_type": ""}
+    for page in ("<img src='a.png' alt='Figure 3. Maps'>", "<figure><a href='x?size=original&id=j.g003'>o</a><img src='t.png'></figure>", "<div id='fig3'><img src='t.png'></div>", "<img src='https://x.silverchair-cdn.com/m_f03.jpeg?s'>", "<div data-id='F3'><img src='t'></div>"):
+        got = run(page, a, large)
+        assert got["embedded_large_figures"] == 1 and "application/octet-stream;base64,TA==" in got["html"], page
+    proxied = [asset(f"https://www.frontiersin.org/api/ipx/w={w}/https://www.frontiersin.org/files/Articles/1/f.jpg", bytes([w]), path=f"w{w}", width=w, height=1) for w in (10, 90, 50)]
+    assert "base64,Wg==" in run("<img src='https://www.frontiersin.org/files/Articles/1/f.jpg'>", *proxied)["html"]
+    with pytest.raises(ValueError):
+        run("<img src='a.png'>", asset("https://e.org/p/a.png", b""))
+    assert run("<p>no image</p>", a)["problems"] == []
+
+
+def test_pages_with_manifests(spark, tmp_path):
+    (tmp_path / "m.json").write_text('{"assets": [{"kind": "image", "url": "https://e.org/a.png", "path": "a", "width": 3, "height": 2, "bytes": 1, "contentType": "image/png"}, {"figure": 2, "path": "b", "contentType": "image/png"}]}')
+    manifest = H.read_manifest(spark, str(tmp_path / "m.json")).withColumn("page_id", F.lit(1).cast("long"))
+    assert sorted((r["kind"], r["figure"], r["pos"]) for r in manifest.collect()) == [("image", None, 0), ("large", 2, 1)]
+    contents = spark.createDataFrame([("a", b"A"), ("b", b"B"), ("c", b"C")], "path string, content binary")
+    pages = spark.createDataFrame([(1, "https://e.org/", "<img src='a.png'><img alt='Figure 2' src='q.png'>"), (2, "https://e.org/", "<img src='a.png' alt='kept'>"), (3, "", None)], "page_id long, base_url string, html string")
+    rows = {r["page_id"]: r["c"] for r in H.clean_pages(pages, manifest, contents).collect()}
+    assert rows[1]["embedded_images"] == 2 and rows[1]["embedded_large_figures"] == 1 and "[Image omitted: kept]" in rows[2]["html"] and rows[3]["html"] is None
+    H.write_fragments(H.clean_pages(pages, manifest, contents), str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out" / "counts")).first()["embedded_images"] == 2
+
+
 def test_article_roots_and_figures():
     viewer = "<header>chrome</header><div class='doi-isbn'>doi</div><div class='pdfView'><p id='articleAbstractView'>abstract</p></div><footer>end</footer>"
     assert H.clean(viewer)["html"] == '<body>\n<div><div>doi</div><div><p id="articleAbstractView">abstract</p></div></div>\n</body>'

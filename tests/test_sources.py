@@ -71,6 +71,12 @@ def test_inventory(spark, tmp_path):
     A.write_inventory(A.inventory(spark, str(tmp_path)), str(tmp_path / "out"))
 
 
+def test_plain_webp():
+    lossy = b"RIFF\0\0\0\0WEBPVP8 " + b"\0" * 7 + b"\x9d\x01\x2a" + struct.pack("<HH", 30 | 1 << 14, 20)
+    lossless = b"RIFF\0\0\0\0WEBPVP8L\0\0\0\0\x2f" + (29 | 19 << 14).to_bytes(4, "little")
+    assert A.image_header(lossy) == A.image_header(lossless) == ("WEBP", 30, 20, 1)
+
+
 def test_snapshots(spark, tmp_path):
     from colophon.operators import diff as D
     from colophon.sources import snapshots as N
