@@ -122,6 +122,25 @@ def markdown_cell(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\n"), F.lit(" "))
 
 
+def grouped(number: Column) -> Column:
+    """A whole number with commas between thousands."""
+    return F.format_number(number, 0)
+
+
+def counted(number: Column, singular: str) -> Column:
+    """A number with its noun: '1 record', '1,200 records'."""
+    return F.concat(grouped(number), F.when(number == 1, F.lit(f" {singular}")).otherwise(F.lit(f" {singular}s")))
+
+
+def trim_slashes(text: Column) -> Column:
+    return F.regexp_replace(text, "^/+|/+$", "")
+
+
+def as_number(text: Column) -> Column:
+    """The number a text stands for, 0 if it is none."""
+    return F.coalesce(text.try_cast("double"), F.lit(0.0))
+
+
 def fold_text(text: str) -> str:
     """The same folding for a search word on the driver."""
     return "".join(ch for ch in unicodedata.normalize("NFKD", text) if not "̀" <= ch <= "ͯ").lower()

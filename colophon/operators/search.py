@@ -38,11 +38,13 @@ def year_bounds(records: DataFrame) -> tuple[int, int] | None:
     return None if row[0] is None else (row[0], row[1])
 
 
-def clamp_years(low: float | None, high: float | None, bounds: tuple[int, int], edited: str = "low") -> tuple[int, int]:
-    """The range that is meant: rounded, inside the bounds; the edge that was edited pushes the other one."""
+def clamp_years(low: float | None, high: float | None, bounds: tuple[int, int], edited: str = "low", stops: bool = False) -> tuple[int, int]:
+    """The range that is meant: rounded and inside the bounds. The edge that was edited pushes the other one, or with ``stops``,
+    as on a slider, is stopped by it."""
     a, b = (min(max(round(x if x is not None else d), bounds[0]), bounds[1]) for x, d in ((low, bounds[0]), (high, bounds[1])))
     if a > b:
-        a, b = (a, a) if edited == "low" else (b, b)
+        kept = a if (edited == "low") != stops else b
+        a = b = kept
     return a, b
 
 
@@ -101,6 +103,23 @@ def facet_values(records: DataFrame, facets: list[str] = FACETS) -> DataFrame:
     return records.select(F.inline(F.array(*pairs))).groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def facet_options(records: DataFrame, labels: DataFrame, facet: str) -> DataFrame:
+    """``(value, label, n)`` of one facet in the order of the labels: the vocabulary's, else the value as words; MISSING is not specified.
+
+    Values of a facet are few, so the sort is of a few rows.
+    """
+    found = facet_values(records, [facet])
+    known = F.broadcast(label(labels, facet).select(F.col("code").alias("value"), "label"))
+    spoken = F.coalesce("label", F.when(F.col("value") == T.MISSING, T.humanize(F.lit(""))).otherwise(T.humanize(F.col("value"))))
+    return found.join(known, "value", "left").select("value", spoken.alias("label"), "n").orderBy(F.collate("label", "UNICODE"), "value")
+
+
+def result_line(records: DataFrame, visible: Column) -> DataFrame:
+    """``line``: how many of how many records are shown."""
+    row = counts(records, visible)
+    return row.select(F.concat(T.grouped(F.col("visible")), F.lit(" of "), T.counted(F.col("total"), "record")).alias("line"))
+
+
 def counts(records: DataFrame, visible: Column) -> DataFrame:
     """Visible and all records, in one pass."""
     return records.agg(F.count_if(visible).alias("visible"), F.count(F.lit(1)).alias("total"))

@@ -127,6 +127,18 @@ def facet_domains(spark, folder):
     return S.facet_values(_records(spark, folder))
 
 
+@query("""WITH f AS (SELECT coalesce(nullif(document_type, ''), '__missing__') AS value, CAST(count(*) AS BIGINT) AS n FROM records GROUP BY 1)
+  SELECT f.value, coalesce(v.label, CASE WHEN f.value = '__missing__' THEN 'Not specified' ELSE f.value END) AS label, f.n FROM f LEFT JOIN vocab v ON v.vocabulary = 'document_type' AND v.code = f.value""")
+def facet_options(spark, folder):
+    """The options of a facet with their labels, in the order of these."""
+    return S.facet_options(_records(spark, folder), table(spark, folder, "vocab"), "document_type")
+
+
+@query("SELECT format('{:,}', count(*) FILTER (document_type = 'review')) || ' of ' || format('{:,}', count(*)) || CASE WHEN count(*) = 1 THEN ' record' ELSE ' records' END AS line FROM records")
+def result_line(spark, folder):
+    return S.result_line(_records(spark, folder), F.col("document_type") == "review")
+
+
 def _top(name: str, sort: str, sql_order: str | None):
     def run(spark, folder):
         return S.top(_records(spark, folder), sort, 100).select("record_id", "title", "publication_year")

@@ -80,3 +80,10 @@ def test_private_references(spark):
     found = run(spark, U.private_reference, PRIVATE + HARMLESS)
     assert all(x is not None for x in found[: len(PRIVATE)])
     assert found[len(PRIVATE) :] == [None] * len(HARMLESS)
+
+
+def test_numbers_and_words(spark):
+    n = lambda c: c.cast("long")
+    assert run(spark, lambda c: T.counted(n(c), "record"), ["1", "1200", "0"]) == ["1 record", "1,200 records", "0 records"]
+    assert run(spark, T.trim_slashes, ["//a/b/", "a", "/"]) == ["a/b", "a", ""]
+    assert run(spark, T.as_number, ["2020", "x", "", None, "1e2"]) == [2020.0, 0.0, 0.0, 0.0, 100.0]

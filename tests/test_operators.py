@@ -164,6 +164,8 @@ def test_search(spark):
     order = lambda sort: [r["record_id"][-1] for r in S.top(df, sort, 9).collect()]
     assert order("year-desc") == ["1", "2", "3"] and order("year-asc") == ["3", "2", "1"] and order("title-asc") == ["3", "1", "2"]
     assert S.clamp_years(2050, 1980, (1990, 2020), "low") == (2020, 2020) and S.clamp_years(None, 1980, (1990, 2020), "high") == (1990, 1990)
+    assert S.clamp_years(2010, 2000, (1990, 2020), "low") == (2010, 2010) and S.clamp_years(2010, 2000, (1990, 2020), "low", stops=True) == (2000, 2000)
+    assert S.clamp_years(2010, 2000, (1990, 2020), "high", stops=True) == (2010, 2010)
     with pytest.raises(ValueError):
         S.SearchSpec(sort="odd")
     card = {r["record_id"][-1]: r for r in S.cards(df, vocab(spark)).collect()}

@@ -102,3 +102,25 @@ def test_snapshots(spark, tmp_path):
         with pytest.raises(N.SnapshotError) as e:
             N.changes(spark, *args)
         assert e.value.code == code
+
+
+def test_places_of_a_collection(spark, tmp_path):
+    from colophon.sources import open as O
+    from colophon.sources import snapshots as N
+
+    folder = tmp_path / "records"
+    folder.mkdir()
+    for i in (1, 2, 3):
+        (folder / f"0000{i}.yaml").write_text(GOOD)
+    (folder / "index.html").write_text("<a href='../'>up</a><a href='/records/00002.yaml?x'>b</a><a href='00001.yaml'>a</a><a href='00001.yaml#l'>a</a><a href='x.txt'>x</a>")
+    assert O.listed_files((folder / "index.html").read_text()) == ["00001.yaml", "00002.yaml"]
+    assert O.record_files(["records/00002.YML", "README.md", "records/00001.yaml"]) == ["records/00001.yaml", "records/00002.YML"]
+    ids = lambda df: sorted(r["record_id"] for r in df.select("record_id").collect())
+    assert ids(O.open_collection(spark, str(folder))) == ["00001", "00002", "00003"]
+    assert ids(O.open_collection(spark, str(folder / "index.html"))) == ["00001", "00002"]
+    df = spark.createDataFrame([("00007",), ("00008",)], "record_id string")
+    N.save(df, str(tmp_path), "records2", "1")
+    N.save(df.limit(1), str(tmp_path), "records2", "2")
+    assert len(ids(O.open_collection(spark, str(tmp_path), "records2"))) == 1 and len(ids(O.open_collection(spark, str(tmp_path), "records2", "1"))) == 2
+    df.write.parquet(str(tmp_path / "t"))
+    assert len(ids(O.open_collection(spark, str(tmp_path / "t")))) == 2
