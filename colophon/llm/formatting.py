@@ -1,7 +1,7 @@
 """Duplicates hidden by formatting: dictionary-encoded records, grouped as integer tuples.
 
 Every distinct value is brought to its canonical form once and gets an integer identifier; a record becomes the sorted
-list of its (field, position, identifier) numbers, and equal lists are copies of one record.
+list of its (position, identifier) numbers, and equal lists are copies of one record.
 """
 
 from __future__ import annotations
@@ -90,10 +90,13 @@ def dictionary(long: DataFrame, canon: Column) -> DataFrame:
 
 
 def encode(long: DataFrame, id_col: str, canon: Column) -> DataFrame:
-    """``(id, code)``: each record as its sorted (field, position, identifier) structs. ``long`` has id, field, pos, value."""
+    """``(id, code)``: each record as its sorted (position, identifier) numbers. ``long`` has id, field, pos, value.
+
+    Identifiers are given for fields and values together, so that an identifier says which field it belongs to.
+    """
     words = dictionary(long, canon)
     coded = lookup_join(long, words, ["field", "value"], "n")
-    return coded.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("field", "pos", "vid"))).alias("code"))
+    return coded.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "vid"))).alias("code"))
 
 
 def copies(encoded: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
