@@ -441,7 +441,7 @@ def findings_top(spark, folder):
   SELECT 'error' AS sev FROM (SELECT count(*) OVER (PARTITION BY {SQL_DOI}) AS n FROM records WHERE doi IS NOT NULL) WHERE n > 1
   UNION ALL SELECT 'error' FROM records WHERE doi IS NOT NULL AND {SQL_DOI} IN (SELECT {SQL_DOI} FROM removed_dois WHERE doi IS NOT NULL)
   UNION ALL SELECT 'warning' FROM (SELECT count(*) OVER (PARTITION BY regexp_replace({_sql_norm('title')}, '[^\\p{{L}}\\p{{N}}]', '', 'g'), publication_year) AS n FROM records WHERE title IS NOT NULL AND publication_year IS NOT NULL) WHERE n > 1)""")
-def findings_summary(spark, folder):
+def key_findings_summary(spark, folder):
     """Errors and warnings of the rules on keys only, as far as SQL can follow; collection_summary counts all rules."""
     records, none = _records(spark, folder), F.lit("")
     parts = [

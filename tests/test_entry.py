@@ -56,6 +56,6 @@ def test_summary_counts_all_rules(spark):
     counts = {"error": 0, "warning": 0}
     for r in queries["findings_by_code"](spark, FOLDER).collect():
         counts[r["severity"]] = counts.get(r["severity"], 0) + r["n"]
-    got, keys = queries["collection_summary"](spark, FOLDER).first(), queries["findings_summary"](spark, FOLDER).first()
+    got, keys = queries["collection_summary"](spark, FOLDER).first(), queries["key_findings_summary"](spark, FOLDER).first()
     assert (got["errors"], got["warnings"], got["passed"]) == (counts["error"], counts["warning"], counts["error"] == 0)
     assert got["errors"] + got["warnings"] > keys["errors"] + keys["warnings"]
