@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from colophon.operators import diff as D
 
 
 class SnapshotError(ValueError):
-    """A comparison that can't be made; code is one of comparison, invalid_revision, merge_base."""
+    """A comparison that can't be made; code is one of comparison, invalid_revision, merge_base (what was asked
+    for), failed (a version that can't be read), parse (one without ids), history_failed (no history to look ids up in)."""
 
     def __init__(self, code: str, message: str):
         super().__init__(message)
@@ -34,7 +36,10 @@ def load(spark: SparkSession, root: str, name: str, version: str | None = None)
     there = versions(spark, root, name)
     if not there or version is not None and version not in there:
         raise SnapshotError("invalid_revision", f"{name} has no version {version}")
-    return spark.read.parquet(f"{root}/{name}/version={version or there[-1]}")
+    try:
+        return spark.read.parquet(f"{root}/{name}/version={version or there[-1]}")
+    except AnalysisException as e:
+        raise SnapshotError("failed", f"{name} {version or there[-1]}: {e}") from e
 
 
 def changes(spark: SparkSession, root: str, name: str, base: str, head: str, mode: str = "direct", fork: str | None = None, id_col: str = "record_id") -> DataFrame:
@@ -44,8 +49,10 @@ def changes(spark: SparkSession, root: str, name: str, base: str, head: str, mod
         raise SnapshotError("comparison", f"unknown mode {mode!r}")
     if mode == "merge-base" and not fork:
         raise SnapshotError("merge_base", "the common version is not known")
-    start = fork if mode == "merge-base" else base
-    return D.detect(load(spark, root, name, start), load(spark, root, name, head), id_col)
+    sides = [load(spark, root, name, v) for v in (fork if mode == "merge-base" else base, head)]
+    if any(id_col not in side.columns for side in sides):
+        raise SnapshotError("parse", f"{name} has no column {id_col}")
+    return D.detect(*sides, id_col)
 
 
 def history(spark: SparkSession, root: str, name: str, upto: str | None = None, id_col: str = "record_id") -> DataFrame:
@@ -56,5 +63,5 @@ def history(spark: SparkSession, root: str, name: str, upto: str | None = None,
         one = spark.read.parquet(f"{root}/{name}/version={v}").select(F.col(id_col), F.lit(v).alias("v"))
         out = one if out is None else out.unionByName(one)
     if out is None:
-        raise SnapshotError("invalid_revision", f"{name} has no version")
+        raise SnapshotError("history_failed", f"{name} has no version{f' up to {upto}' if upto else ''}")
     return out.groupBy(id_col).agg(F.min("v").alias("first_seen"), F.max("v").alias("last_seen"))

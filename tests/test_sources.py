@@ -104,6 +104,24 @@ def test_snapshots(spark, tmp_path):
         assert e.value.code == code
 
 
+def test_snapshots_that_cannot_be_compared(spark, tmp_path):
+    from colophon.sources import snapshots as N
+
+    df = spark.createDataFrame([("1", "a")], "record_id string, title string")
+    N.save(df, str(tmp_path), "r", "1")
+    N.save(df.drop("record_id"), str(tmp_path), "r", "2")
+    (tmp_path / "r" / "version=3").mkdir()
+    for call, code in (
+        (lambda: N.changes(spark, str(tmp_path), "r", "1", "2"), "parse"),
+        (lambda: N.changes(spark, str(tmp_path), "r", "1", "3"), "failed"),
+        (lambda: N.history(spark, str(tmp_path), "r", "0"), "history_failed"),
+        (lambda: N.load(spark, str(tmp_path), "none"), "invalid_revision"),
+    ):
+        with pytest.raises(N.SnapshotError) as e:
+            call()
+        assert e.value.code == code
+
+
 def test_places_of_a_collection(spark, tmp_path):
     from colophon.sources import open as O
     from colophon.sources import snapshots as N
