@@ -476,4 +476,5 @@ def keep_first(images: DataFrame, key: str = "path", order: str = "image", fill:
 
 
 def data_url(content: Column, content_type: Column) -> Column:
-    return F.concat(F.lit("data:"), content_type, F.lit(";base64,"), F.base64(content))
+    """Content as an address; base64 breaks lines after 76 characters, which an address doesn't."""
+    return F.concat(F.lit("data:"), content_type, F.lit(";base64,"), F.replace(F.base64(content), F.lit("\r\n"), F.lit("")))

@@ -59,7 +59,7 @@ def _sql_norm(x: str) -> str:
     """NFKC and case folding in SQL, for the characters that occur."""
     a, b = _one_to_one()
     out = f"nfc_normalize(translate({x}, '{a}', '{b}'))"
-    for ch in "ﬁﬂ¼½¾™…":
+    for ch in "ﬁﬂ¼½¾™…´¨¯¸˜":
         out = f"replace({out}, '{ch}', '{unicodedata.normalize('NFKC', ch)}')"
     return f"replace(replace(lower({out}), 'ß', 'ss'), 'ς', 'σ')"
 
@@ -637,3 +637,78 @@ def asset_dedup_keep_first(spark, folder):
     """Equal texts of a source once, with the language of the first copy that tells it."""
     images = table(spark, folder, "documents").select(F.col("source").alias("page_id"), F.sha2("text", 256).alias("path"), F.col("doc_id").alias("image"), F.when(F.col("lang") == "en", "").otherwise(F.col("lang")).alias("alt"))
     return H.keep_first(images).select("page_id", "path", "image", "alt")
+
+
+# Functions on whole tables, each with the SQL for the same values; long values are compared by their hash.
+
+
+@query("SELECT doc_id, md5('data:text/plain;base64,' || base64(encode(text))) AS url FROM documents")
+def data_urls(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", F.md5(H.data_url(F.encode("text", "UTF-8"), F.lit("text/plain"))).alias("url"))
+
+
+@query("SELECT doc_id, md5(replace(replace(text, '|', '\\|'), chr(10), ' ')) AS cell FROM documents")
+def markdown_cells(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", F.md5(T.markdown_cell(F.col("text"))).alias("cell"))
+
+
+@query("SELECT source, arg_max(doc_id, n_chars * 1000000000 - doc_id) AS doc_id, max(n_chars) AS n_chars FROM documents GROUP BY 1")
+def longest_text(spark, folder):
+    """The longest text of each source, the first of equal ones."""
+    order = F.struct("n_chars", (-F.col("doc_id")).alias("first"))
+    return table(spark, folder, "documents").groupBy("source").agg(F.max_by("doc_id", order).alias("doc_id"), F.max("n_chars").alias("n_chars"))
+
+
+_FIGURE = "coalesce(" + ", ".join(f"nullif(regexp_extract(text, '{p}', 1), '')" for p in H.FIGURE_NUMBER) + ")"
+
+
+@query(f"SELECT doc_id, CAST({_FIGURE} AS INTEGER) AS number FROM documents WHERE {_FIGURE} IS NOT NULL")
+def figure_numbers(spark, folder):
+    """The first figure that each text names, as a description would be read."""
+    return table(spark, folder, "documents").select("doc_id", H.figure_number(F.col("text")).alias("number")).where("number is not null")
+
+
+@query(r"SELECT doc_id, md5(regexp_replace(regexp_replace(text, '(?s)<!--.*?-->', '', 'g'), '(?i)</?noscript\b[^>]*>', '', 'g')) AS page FROM documents")
+def html_without_noscript(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", F.md5(H.without_noscript(F.col("text"))).alias("page"))
+
+
+def _sql_without_forbidden() -> str:
+    out = "text"
+    for tag in H.FORBIDDEN:
+        out = rf"regexp_replace({out}, '(?is)<{tag}\b[^>]*>.*?</{tag}\s*>', '', 'g')"
+    return rf"regexp_replace({out}, '(?is)<(?:link|embed|input)\b[^>]*>', '', 'g')"
+
+
+@query(f"SELECT doc_id, md5({_sql_without_forbidden()}) AS page FROM documents")
+def html_without_forbidden(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", F.md5(H.without_forbidden(F.col("text"))).alias("page"))
+
+
+@query(f"SELECT record_id, trim(regexp_replace({_sql_norm('title')}, '{SPACE}+', ' ', 'g')) AS title FROM records")
+def normal_titles(spark, folder):
+    return _records(spark, folder).select("record_id", T.norm_text(F.col("title")).alias("title"))
+
+
+@query("SELECT record_id, title FROM records ORDER BY coalesce(publication_year, 0) DESC, record_id LIMIT 50")
+def reset_search(spark, folder):
+    """What is shown when nothing is asked for: all records, the latest first."""
+    spec = S.SearchSpec()
+    return S.top(S.search(_records(spark, folder), spec), spec.sort, 50).select("record_id", "title")
+
+
+@query("SELECT record_id, split_part(doi, '#', 1) AS bare, regexp_replace(doi, '^/+|/+$', '', 'g') AS trimmed FROM records")
+def addresses_trimmed(spark, folder):
+    return _records(spark, folder).select("record_id", U.without_fragment(F.col("doi")).alias("bare"), T.trim_slashes(F.col("doi")).alias("trimmed"))
+
+
+@query("SELECT new_id AS record_id, CAST(count(*) AS BIGINT) AS n FROM record_changes WHERE new_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+def duplicate_ids(spark, folder):
+    """Ids that several rows of the change log give to a record, taken for a collection in which ids repeat."""
+    return C.duplicate_ids(table(spark, folder, "record_changes").select(F.col("new_id").alias("record_id")))
+
+
+@query("SELECT incoming_id, coalesce(TRY_CAST(regexp_extract(doi, '[0-9]{4}') AS DOUBLE), 0) AS number FROM incoming")
+def numbers_in_keys(spark, folder):
+    """The first four digits of a key as a number, 0 without any."""
+    return table(spark, folder, "incoming").select("incoming_id", T.as_number(F.regexp_extract("doi", "[0-9]{4}", 0)).alias("number"))
