@@ -59,7 +59,7 @@ def _sql_norm(x: str) -> str:
     """NFKC and case folding in SQL, for the characters that occur."""
     a, b = _one_to_one()
     out = f"nfc_normalize(translate({x}, '{a}', '{b}'))"
-    for ch in "ﬁﬂ¼½¾™…´¨¯¸˜":
+    for ch in "ﬁﬂ¼½¾™…´¨¯¸˘˙˚˛˜˝":
         out = f"replace({out}, '{ch}', '{unicodedata.normalize('NFKC', ch)}')"
     return f"replace(replace(lower({out}), 'ß', 'ss'), 'ς', 'σ')"
 
