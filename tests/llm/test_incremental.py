@@ -128,3 +128,24 @@ def test_against_brute_force(spark):
     pairs = new.crossJoin(old.select(*[F.col(c).alias(f"o_{c}") for c in old.columns])).where((F.col("id") > F.col("o_id")) & M.same_work()).select("id").distinct()
     want = {r["id"] for r in pairs.collect()}
     assert want <= got and len(want) > 60
+
+
+def test_common_words_mistyped_at_the_beginning(spark):
+    """Words that are common in a larger collection take no pair away: authors shared, an author mistyped, no author, no year."""
+    filler = "kinetics structure binding transport analysis stability folding repair release".split()
+    title, wrong = " ".join(filler), "kinetcs structre binding transprt analysis stability foldng repair release"
+    records = [row(f"{i:09d}", " ".join(filler[(i + k) % 9] for k in range(5)) + f" report{i}", [f"Writer{i} Qu{i:04d}"], f"10.1234/h-{i:05d}") for i in range(500)]
+    records += [row("200000001", title, ["Ann Kovalek", "Bo Tremis", "Cy Dorvan"], year=1990), row("200000002", title, ["Eva Fuhrmann"], year=1980), row("200000003", title, None, "10.1234/c-1970-aaaa", 1970)]
+    batch = [row("N1", wrong, ["Ann Kovalek", "Di Milovic", "Bo Tremis"], year=1991), row("N2", wrong, ["E. Fuhrmna"], year=1980), row("N3", wrong, ["Flo Zarkowski"], year=1969)]
+    batch += [row("N4", title, ["Gil Onlyone", "Hal Tworin", "Ida Trevik"], "10.1234/z-1950-zzzz", None), row("N5", wrong, ["G. Onlyone", "H. Tworin", "I. Trevik"], year=1950)]
+    assert run(spark, records, [(1, r) for r in batch]) == {("N1", "200000001"), ("N2", "200000002"), ("N3", "200000003"), ("N5", "N4")}
+
+
+def test_surnames_two_edits_away(spark):
+    """All pairs of surnames that are two edits apart at most have a stem in common, short and long ones."""
+    rng = random.Random(2)
+    names = ["".join(rng.choice("abc") for _ in range(rng.randint(3, 9))) for _ in range(250)] + ["kovalek-" * 9 + x for x in ("a", "ab", "bc", "abcd")]
+    rows = spark.createDataFrame([(names,)], "surnames array<string>")
+    want = rows.select(F.explode("surnames").alias("a")).distinct().crossJoin(rows.select(F.explode("surnames").alias("b")).distinct())
+    want = want.where("a <> b and greatest(length(a), length(b)) > 4 and levenshtein(a, b) <= 2")
+    assert {tuple(r) for r in M.near_surnames(rows, rows.limit(0)).collect()} == {tuple(r) for r in want.collect()}
